@@ -35,3 +35,8 @@ def tx_row(tx_id, step, dest="M1", amount="10.00", type_="TRANSFER", fraud=0, fl
            orig=None, old_orig="100.00", new_orig="90.00", old_dest="0.00", new_dest="10.00"):
     return (tx_id, step, type_, amount, orig or f"C{tx_id}", old_orig, new_orig, dest,
             old_dest, new_dest, fraud, flagged)
+
+
+def plan_text(df, mode="formatted"):
+    """The text ``df.explain(mode)`` prints."""
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)

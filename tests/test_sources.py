@@ -2,7 +2,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, plan_text
 from txrisk import schema as S
 from txrisk.operators.filters import risky
 from txrisk.plans import stages
@@ -26,8 +26,9 @@ def test_csv_ingest_roundtrip_and_partition_pruning(spark):
     back = stages.ingest(spark, f"{d}/raw", f"{d}/tx")
     assert _same(back.drop(S.TX_ID), tx.drop(S.TX_ID))
     assert back.select(S.TX_ID).distinct().count() == tx.count()
-    plan = risky(back)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(type" in plan and "TRANSFER" in plan
+    plan = plan_text(risky(back))
+    pf = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "IN (TRANSFER,CASH_OUT)" in pf
 
 
 def test_flat_parquet_and_predictions_sink(spark):
@@ -50,6 +51,6 @@ def test_flat_parquet_and_predictions_sink(spark):
 
 def test_events_type_filter_reaches_scan(spark):
     df = load_transactions(spark, SF001, types=S.RISKY_TYPES)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df)
     assert "PushedFilters: [In(event_type, [click,purchase])]" in plan
     assert df.select(F.collect_set(S.TYPE)).first()[0].__len__() == 2
