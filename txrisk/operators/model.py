@@ -6,7 +6,6 @@ prepares the inputs, fits, scores and turns the results into DataFrames.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -80,19 +79,35 @@ def build_pipeline(features=FULL_FEATURES, label: str = S.LABEL, weight: str | N
     return Pipeline(stages=[type_indexer(), assembler, estimator])
 
 
+def prepare_train(train: DataFrame, label: str = S.LABEL) -> DataFrame:
+    """Doubles at the ML boundary plus the class weight, written once as a
+    table in the session's checkpoint directory (``spark.checkpoint.dir``; a
+    shared folder on a cluster).  The tree learner makes many passes over
+    it; the written copy cuts the lineage so a lost executor re-reads files
+    instead of recomputing the window and join that produced the rows."""
+    from txrisk.session import materialize
+
+    weighted = materialize(with_class_weight(model_inputs(train), label), "train")
+    # The learner makes a few hundred passes over this table; give every core
+    # a slice of it.  A large table already has more file splits than cores.
+    cores = weighted.sparkSession.sparkContext.defaultParallelism
+    if weighted.rdd.getNumPartitions() < cores:
+        weighted = weighted.repartition(cores)
+    if weighted.where(F.col(label) == 1).isEmpty():
+        raise ValueError("train split has no positive rows; the class weight is undefined")
+    return weighted
+
+
+def fit_prepared(weighted: DataFrame, features=FULL_FEATURES, label: str = S.LABEL,
+                 **gbt_params) -> PipelineModel:
+    """Fit the pipeline on a split prepared by :func:`prepare_train`."""
+    return build_pipeline(features, label, **gbt_params).fit(weighted)
+
+
 def fit(train: DataFrame, features=FULL_FEATURES, label: str = S.LABEL,
         **gbt_params) -> PipelineModel:
-    """Weight the train split and fit the pipeline.  The weighted input is
-    persisted (memory, spilling to disk) for the indexer pass and the tree
-    learner, then released."""
-    weighted = with_class_weight(model_inputs(train), label)
-    weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if weighted.where(F.col(label) == 1).isEmpty():
-            raise ValueError("train split has no positive rows; the class weight is undefined")
-        return build_pipeline(features, label, **gbt_params).fit(weighted)
-    finally:
-        weighted.unpersist()
+    """Weight the train split and fit the pipeline."""
+    return fit_prepared(prepare_train(train, label), features, label, **gbt_params)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

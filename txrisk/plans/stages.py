@@ -56,27 +56,76 @@ class ModelRun:
 
 
 _FITTED: dict = {}
+_PREPARED: dict = {}
+
+
+def _prepared_train(spark, train, cache_key, split_step):
+    key = None if cache_key is None else (spark.sparkContext.applicationId, cache_key, split_step)
+    if key is not None and key in _PREPARED:
+        return _PREPARED[key]
+    weighted = ML.prepare_train(train)
+    if key is not None:
+        _PREPARED[key] = weighted
+    return weighted
+
+
+def _model_key(spark, cache_key, features, split_step, gbt_params):
+    if cache_key is None:
+        return None
+    return (spark.sparkContext.applicationId, cache_key, tuple(features), split_step,
+            tuple(sorted(gbt_params.items())))
 
 
 def model_run(spark: SparkSession, enriched: DataFrame, cache_key=None,
               features=ML.FULL_FEATURES, split_step: int = S.SPLIT_STEP,
               **gbt_params) -> ModelRun:
-    """Split by step, fit on train, score test.  Fitted models are reused
-    within a session when ``cache_key`` is given (e.g. the input path)."""
+    """Split by step, fit on train, score test.  With a ``cache_key`` (e.g.
+    the input path) the prepared train split and fitted models are reused
+    within the session."""
     train, test = train_test(enriched, split_step)
-    key = None
-    if cache_key is not None:
-        key = (spark.sparkContext.applicationId, cache_key, tuple(features), split_step,
-               tuple(sorted(gbt_params.items())))
+    key = _model_key(spark, cache_key, features, split_step, gbt_params)
     model = _FITTED.get(key) if key else None
     if model is None:
-        model = ML.fit(train, features, **gbt_params)
+        weighted = _prepared_train(spark, train, cache_key, split_step)
+        model = ML.fit_prepared(weighted, features, **gbt_params)
         if key:
             _FITTED[key] = model
     preds = ML.score(model, test)
     return ModelRun(model, list(features), train, test, preds)
 
 
+def fit_all(spark: SparkSession, enriched: DataFrame, feature_sets: dict, cache_key=None,
+            split_step: int = S.SPLIT_STEP, parallelism: int | None = None,
+            **gbt_params) -> dict:
+    """Fit one model per feature set, submitting the fits from parallel
+    threads (Spark runs their jobs concurrently, as CrossValidator does with
+    its ``parallelism``); the prepared train split is shared."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    train, _ = train_test(enriched, split_step)
+    weighted = _prepared_train(spark, train, cache_key, split_step)
+    todo = {name: cols for name, cols in feature_sets.items()
+            if not _model_key(spark, cache_key, cols, split_step, gbt_params)
+            or _model_key(spark, cache_key, cols, split_step, gbt_params) not in _FITTED}
+    fitted = {}
+    if todo:
+        workers = parallelism or len(todo)
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            futures = {name: pool.submit(ML.fit_prepared, weighted, cols, **gbt_params)
+                       for name, cols in todo.items()}
+            fitted = {name: f.result() for name, f in futures.items()}
+    out = {}
+    for name, cols in feature_sets.items():
+        key = _model_key(spark, cache_key, cols, split_step, gbt_params)
+        if name in fitted:
+            if key:
+                _FITTED[key] = fitted[name]
+            out[name] = fitted[name]
+        else:
+            out[name] = _FITTED[key]
+    return out
+
+
 def raw_score():
     """Class-1 margin of the classifier (the reference's AUC input)."""
     from pyspark.ml.functions import vector_to_array
@@ -101,9 +150,11 @@ def ablation(spark: SparkSession, enriched: DataFrame, cache_key=None,
              feature_sets=None, **gbt_params) -> DataFrame:
     """Fit and evaluate once per feature set: AUC, recall, precision, F1."""
     feature_sets = feature_sets or ML.FEATURE_SETS
+    models = fit_all(spark, enriched, feature_sets, cache_key, **gbt_params)
+    train, test = train_test(enriched)
     rows = []
     for name, cols in feature_sets.items():
-        run = model_run(spark, enriched, cache_key, cols, **gbt_params)
+        run = ModelRun(models[name], list(cols), train, test, ML.score(models[name], test))
         m = model_metrics(run)
         rows.append(m.select(F.lit(name).alias("feature_set"), "auc", "recall", "precision", "f1"))
     out = rows[0]

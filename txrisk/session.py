@@ -46,3 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="txrisk-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet under the session's checkpoint directory (the
+    shared folder a cluster names in ``spark.checkpoint.dir``) and return it
+    read back.  One job computes and writes; the result has no lineage to
+    recompute when an executor is lost."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/txrisk-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
