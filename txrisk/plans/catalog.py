@@ -128,6 +128,20 @@ def q_mismatch_long(spark, d):
     return R.mismatch_long(R.mismatch_by_label(_enriched(spark, d)))
 
 
+def q_velocity_windows(spark, d):
+    """The streaming velocity operator run as a batch over the whole table."""
+    from txrisk.sources.events import type_source_predicate
+    from txrisk.streaming.velocity import EVENT_TIME, step_of_hour, velocity_windows
+    from txrisk.sources.events import events_to_transactions
+
+    events = spark.read.parquet(f"{d.rstrip('/')}/events.parquet")
+    tx = events_to_transactions(events.where(type_source_predicate(S.RISKY_TYPES)),
+                                event_time=EVENT_TIME)
+    v = velocity_windows(tx, watermark=None)
+    return _report(v.select(S.DEST, step_of_hour().alias(S.STEP), S.VELOCITY_COUNT,
+                            S.VELOCITY_AMOUNT))
+
+
 # -------------------------------------------------------------- slices / dashboard
 def q_slice_view(spark, d):
     return _report(FL.slice_tx(_tx(spark, d), **EXAMPLE_SLICE))

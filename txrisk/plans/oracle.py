@@ -173,6 +173,10 @@ FROM enriched GROUP BY isFraud)"""
     q["mismatch_long"] = _with(TX, ENRICHED, mm) + """SELECT isFraud, 'origin' AS side, orig_mismatch_pct AS mismatch_pct FROM mm
 UNION ALL SELECT isFraud, 'destination' AS side, dest_mismatch_pct AS mismatch_pct FROM mm"""
 
+    q["velocity_windows"] = W_R + """SELECT nameDest, CAST(step + k AS INTEGER) AS step,
+  count(*) AS dest_tx_last_24h, CAST(sum(amount) AS DOUBLE) AS dest_amount_last_24h
+FROM risky, range(0, 25) AS t(k) GROUP BY nameDest, step + k"""
+
     sl = """sl AS (SELECT * FROM tx WHERE type IN ('TRANSFER', 'CASH_OUT', 'PAYMENT')
                AND step >= 100 AND step <= 600)"""
     q["slice_view"] = _with(TX, sl) + f"SELECT {TX_COLS} FROM sl"

@@ -58,9 +58,12 @@ def type_source_predicate(types: Iterable[str]) -> Column:
     return pred
 
 
-def events_to_transactions(events: DataFrame) -> DataFrame:
+def events_to_transactions(events: DataFrame, event_time: str | None = None) -> DataFrame:
     """Project ``events`` onto the transaction schema (see ``FIXTURES.md``).
 
+    ``event_time``: also keep ``ts`` as a TIMESTAMP column of that name (the
+    event-time column for streaming).  Works on streaming DataFrames too.
+
     Two projections: the first derives step, type, cents and the label once;
     the second builds the balances from them.  Both stay in one codegen stage.
     """
@@ -73,6 +76,7 @@ def events_to_transactions(events: DataFrame) -> DataFrame:
         tx_type.alias(S.TYPE),
         F.round(F.col("value") * 100).cast("long").alias("_c"),
         F.col("user_id").alias("_uid"),
+        *([F.col("ts").cast("timestamp").alias(event_time)] if event_time else []),
     )
     eid, uid, step, c, typ = (F.col(S.TX_ID), F.col("_uid"), F.col(S.STEP),
                               F.col("_c"), F.col(S.TYPE))
@@ -100,6 +104,7 @@ def events_to_transactions(events: DataFrame) -> DataFrame:
         _money(F.when(dest_unchanged, od).otherwise(od + c)).alias(S.NEW_DEST),
         f.alias(S.LABEL),
         F.when((typ == "TRANSFER") & (c > FLAG_CENTS), 1).otherwise(0).cast("int").alias(S.RULE),
+        *([F.col(event_time)] if event_time else []),
     )
 
 
