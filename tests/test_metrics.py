@@ -64,3 +64,26 @@ def test_score_histogram_top_bin(spark):
     df = spark.createDataFrame([(1, 1.0), (0, 0.0), (0, 0.024), (1, 0.5)], "isFraud int, p double")
     rows = {(r[0], r[1]): r[2] for r in M.score_histogram(df, prob="p").collect()}
     assert rows == {(1, 39): 1, (0, 0): 2, (1, 20): 1}
+
+
+def test_threshold_costs_brute_force(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.random() if i % 7 else 1.0, int(rnd.random() < 0.2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "p double, isFraud int")
+    got = {r["k"]: (r["fn"], r["fp"], r["cost"]) for r in M.threshold_costs(df, score="p", grid=20).collect()}
+    assert sorted(got) == list(range(22))
+    for k in range(22):
+        fn = sum(1 for p, y in rows if y == 1 and not p * 20 >= k)
+        fp = sum(1 for p, y in rows if y == 0 and p * 20 >= k)
+        assert got[k] == (fn, fp, 10.0 * fn + fp)
+    best = M.best_threshold(M.threshold_costs(df, score="p", grid=20)).first()
+    assert best["cost"] == min(v[2] for v in got.values())
+
+
+def test_metrics_by_band(spark):
+    rows = [(50.0, 1, 1), (50.0, 0, 1), (150.0, 1, 0), (2000.0, 0, 0), (None, 1, 1)]
+    df = spark.createDataFrame(rows, "amount double, isFraud int, prediction int")
+    got = {r["band"]: r for r in M.metrics_by_band(df).collect()}
+    assert got[0]["rows"] == 2 and got[0]["precision"] == 0.5 and got[0]["band_hi"] == 100.0
+    assert got[1]["fn"] == 1 and got[1]["recall"] == 0.0
+    assert got[2]["band_lo"] == 1000.0 and got[None]["rows"] == 1

@@ -131,3 +131,19 @@ def type_index(model_or_indexer, df: DataFrame) -> DataFrame:
     return (idx.transform(df.select(S.TYPE))
                .groupBy(S.TYPE, F.col(TYPE_INDEX).cast("int").alias(TYPE_INDEX))
                .agg(F.count(F.lit(1)).alias("count")))
+
+
+def baseline_estimators(label: str = S.LABEL, weight: str = WEIGHT) -> dict:
+    """The estimators compared against each other on the same features and
+    weights: the GBT above, logistic regression and a random forest of the
+    same depth."""
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+
+    common = {"labelCol": label, "featuresCol": "features", "weightCol": weight}
+    return {
+        "gbt": GBTClassifier(**common, **GBT_PARAMS),
+        "logistic_regression": LogisticRegression(**common, maxIter=100),
+        "random_forest": RandomForestClassifier(**common, numTrees=GBT_PARAMS["maxIter"],
+                                                maxDepth=GBT_PARAMS["maxDepth"],
+                                                seed=GBT_PARAMS["seed"]),
+    }

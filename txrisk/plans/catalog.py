@@ -230,6 +230,25 @@ def q_rule_false_positives(spark, d):
     return _report(M.errors(_test_split(spark, d), "fp", pred=S.RULE))
 
 
+def _amount_score():
+    """A deterministic score in [0, 1) rising with the amount (a stand-in for
+    a model score where an exact oracle is wanted)."""
+    a = F.col(S.AMOUNT).cast("double")
+    return a / (a + F.lit(100.0))
+
+
+def q_rule_metrics_by_band(spark, d):
+    return M.metrics_by_band(_test_split(spark, d), pred=S.RULE)
+
+
+def q_threshold_costs_amount(spark, d):
+    return M.threshold_costs(_test_split(spark, d), score=_amount_score())
+
+
+def q_best_threshold_amount(spark, d):
+    return M.best_threshold(M.threshold_costs(_test_split(spark, d), score=_amount_score()))
+
+
 # -------------------------------------------------------------- model (rows-only checks)
 def q_gbt_predictions(spark, d):
     p = _run(spark, d).predictions
@@ -258,6 +277,10 @@ def q_ablation_long(spark, d):
                                         "metric", "value")
 
 
+def q_estimator_comparison(spark, d):
+    return stages.compare_estimators(spark, _enriched(spark, d), cache_key=("events", d))
+
+
 def q_score_histogram(spark, d):
     return M.score_histogram(_run(spark, d).predictions)
 
@@ -277,5 +300,5 @@ def queries() -> dict[str, Query]:
 
 # Queries checked by row count only (model outputs depend on the learner).
 ROWS_ONLY = ("gbt_predictions", "feature_importance", "model_metrics", "model_vs_rule",
-             "ablation", "ablation_long", "score_histogram", "model_false_negatives",
+             "ablation", "ablation_long", "estimator_comparison", "score_histogram", "model_false_negatives",
              "model_false_positives")

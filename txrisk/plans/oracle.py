@@ -262,6 +262,32 @@ FROM (SELECT count(*) FILTER (WHERE isFraud = 1) AS test_fraud,
 FROM test WHERE isFraud = 1 AND isFlaggedFraud = 0 ORDER BY tx_id"""
     q["rule_false_positives"] = W_E + """SELECT tx_id, step, type, CAST(amount AS DOUBLE) AS amount
 FROM test WHERE isFraud = 0 AND isFlaggedFraud = 1 ORDER BY tx_id"""
+    q["rule_metrics_by_band"] = W_E + """SELECT band,
+  [0.0, 100.0, 1000.0, 10000.0, 100000.0, 1000000.0][band + 1] AS band_lo,
+  [100.0, 1000.0, 10000.0, 100000.0, 1000000.0, NULL][band + 1] AS band_hi,
+  rows, tp, fn, fp,
+  CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END AS recall
+FROM (SELECT CASE WHEN amount >= 1000000 THEN 5 WHEN amount >= 100000 THEN 4 WHEN amount >= 10000 THEN 3
+                  WHEN amount >= 1000 THEN 2 WHEN amount >= 100 THEN 1 WHEN amount >= 0 THEN 0 END AS band,
+             count(*) AS rows,
+             count(*) FILTER (WHERE isFraud = 1 AND isFlaggedFraud = 1) AS tp,
+             count(*) FILTER (WHERE isFraud = 1 AND isFlaggedFraud = 0) AS fn,
+             count(*) FILTER (WHERE isFraud = 0 AND isFlaggedFraud = 1) AS fp
+      FROM test GROUP BY 1)"""
+    tc = """sc AS (
+  SELECT least(100, CAST(floor(CAST(amount AS DOUBLE) / (CAST(amount AS DOUBLE) + 100.0) * 100) AS INTEGER)) AS cell,
+         isFraud FROM test WHERE amount IS NOT NULL AND isFraud IS NOT NULL),
+tc AS (
+  SELECT CAST(k AS INTEGER) AS k, CAST(k AS DOUBLE) / 100.0 AS threshold,
+         (SELECT count(*) FROM sc WHERE isFraud = 1 AND cell < k) AS fn,
+         (SELECT count(*) FROM sc WHERE isFraud <> 1 AND cell >= k) AS fp
+  FROM range(0, 102) AS g(k)),
+costs AS (SELECT k, threshold, fn, fp, 10.0 * fn + 1.0 * fp AS cost FROM tc)"""
+    q["threshold_costs_amount"] = _with(TX, ENRICHED, tc) + \
+        "SELECT k, threshold, fn, fp, CAST(cost AS DOUBLE) AS cost FROM costs"
+    q["best_threshold_amount"] = _with(TX, ENRICHED, tc) + \
+        "SELECT k, threshold, fn, fp, CAST(cost AS DOUBLE) AS cost FROM costs ORDER BY cost, k LIMIT 1"
     return q
 
 

@@ -161,3 +161,40 @@ def ablation(spark: SparkSession, enriched: DataFrame, cache_key=None,
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+def compare_estimators(spark: SparkSession, enriched: DataFrame, cache_key=None,
+                       features=ML.FULL_FEATURES, estimators: dict | None = None,
+                       split_step: int = S.SPLIT_STEP) -> DataFrame:
+    """Fit each estimator on the same prepared train split (from parallel
+    threads) and evaluate on the test split: AUC, recall, precision, F1."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    estimators = estimators or ML.baseline_estimators()
+    train, test = train_test(enriched, split_step)
+    weighted = _prepared_train(spark, train, cache_key, split_step)
+    key = lambda name: None if cache_key is None else (
+        spark.sparkContext.applicationId, cache_key, "estimator", name, tuple(features), split_step)
+    # the default GBT is the model every other query uses: reuse its fit
+    gbt_key = _model_key(spark, cache_key, features, split_step, {})
+    if gbt_key in _FITTED and key("gbt") is not None and key("gbt") not in _FITTED \
+            and "gbt" in estimators and estimators["gbt"].extractParamMap() == \
+            ML.baseline_estimators()["gbt"].extractParamMap():
+        _FITTED[key("gbt")] = _FITTED[gbt_key]
+    todo = {n: e for n, e in estimators.items() if key(n) is None or key(n) not in _FITTED}
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        futures = {n: pool.submit(lambda e: ML.build_pipeline(features, estimator=e).fit(weighted), e)
+                   for n, e in todo.items()}
+        fitted = {n: f.result() for n, f in futures.items()}
+    rows = []
+    for name in estimators:
+        model = fitted.get(name) or _FITTED[key(name)]
+        if key(name) is not None:
+            _FITTED[key(name)] = model
+        run = ModelRun(model, list(features), train, test, ML.score(model, test))
+        rows.append(model_metrics(run).select(F.lit(name).alias("estimator"), "auc", "recall",
+                                              "precision", "f1"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
