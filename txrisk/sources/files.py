@@ -49,12 +49,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_tx(df: DataFrame, path: str, by: str = S.TYPE, mode: str = "overwrite") -> None:
+def write_tx(df: DataFrame, path: str, by: str = S.TYPE, mode: str = "overwrite",
+             max_records_per_file: int | None = None) -> None:
     """Partitioned Parquet, one folder per value of ``by``.
 
-    Rows are clustered by the partition column first so each task writes few
-    files per folder instead of one file per (task, type) pair."""
-    (df.repartition(by).write.mode(mode).partitionBy(by).parquet(path))
+    No shuffle: every task writes at most one file per value it holds (the
+    writer sorts each task's rows by the partition column).  Repartitioning
+    by a five-valued column first would funnel each type through one task.
+    ``max_records_per_file`` caps file size for very large tasks."""
+    w = df.write.mode(mode).partitionBy(by)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
