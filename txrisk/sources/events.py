@@ -61,7 +61,8 @@ def type_source_predicate(types: Iterable[str]) -> Column:
 def events_to_transactions(events: DataFrame, event_time: str | None = None) -> DataFrame:
     """Project ``events`` onto the transaction schema (see ``FIXTURES.md``).
 
-    ``event_time``: also keep ``ts`` as a TIMESTAMP column of that name (the
+    ``event_time``: also keep ``ts`` (TIMESTAMP_NTZ, so no session time zone
+    is involved) as a column of that name (the
     event-time column for streaming).  Works on streaming DataFrames too.
 
     Two projections: the first derives step, type, cents and the label once;
@@ -76,7 +77,7 @@ def events_to_transactions(events: DataFrame, event_time: str | None = None) ->
         tx_type.alias(S.TYPE),
         F.round(F.col("value") * 100).cast("long").alias("_c"),
         F.col("user_id").alias("_uid"),
-        *([F.col("ts").cast("timestamp").alias(event_time)] if event_time else []),
+        *([F.col("ts").alias(event_time)] if event_time else []),
     )
     eid, uid, step, c, typ = (F.col(S.TX_ID), F.col("_uid"), F.col(S.STEP),
                               F.col("_c"), F.col(S.TYPE))
