@@ -47,6 +47,14 @@ def _money(cents: Column) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
 
+def utc_instant(col: str) -> Column:
+    """A TIMESTAMP_NTZ wall-clock value read as UTC, as a TIMESTAMP (an
+    instant); independent of the session time zone."""
+    ts = F.col(col)
+    return F.make_timestamp_ltz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.minute(ts), F.date_part(F.lit("SECOND"), ts), F.lit("UTC"))
+
+
 def type_source_predicate(types: Iterable[str]) -> Column:
     """``type IN types`` expressed on the raw ``event_type`` column."""
     types = set(types)
@@ -61,8 +69,8 @@ def type_source_predicate(types: Iterable[str]) -> Column:
 def events_to_transactions(events: DataFrame, event_time: str | None = None) -> DataFrame:
     """Project ``events`` onto the transaction schema (see ``FIXTURES.md``).
 
-    ``event_time``: also keep ``ts`` (TIMESTAMP_NTZ, so no session time zone
-    is involved) as a column of that name (the
+    ``event_time``: also keep ``ts`` as a TIMESTAMP column of that name,
+    reading its wall-clock value as UTC whatever the session time zone (the
     event-time column for streaming).  Works on streaming DataFrames too.
 
     Two projections: the first derives step, type, cents and the label once;
@@ -77,7 +85,7 @@ def events_to_transactions(events: DataFrame, event_time: str | None = None) ->
         tx_type.alias(S.TYPE),
         F.round(F.col("value") * 100).cast("long").alias("_c"),
         F.col("user_id").alias("_uid"),
-        *([F.col("ts").alias(event_time)] if event_time else []),
+        *([utc_instant("ts").alias(event_time)] if event_time else []),
     )
     eid, uid, step, c, typ = (F.col(S.TX_ID), F.col("_uid"), F.col(S.STEP),
                               F.col("_c"), F.col(S.TYPE))

@@ -58,9 +58,12 @@ def velocity_windows(tx: DataFrame, key: str = S.DEST, time_col: str = EVENT_TIM
 
 
 def step_of_hour(hour: str = "hour") -> Column:
-    """Step number (1-based hour of the year) of an hour timestamp, the
-    same rule that maps ``events.ts`` to ``step``."""
-    return ((F.dayofyear(hour) - 1) * 24 + F.hour(hour) + 1).cast("int")
+    """Step number (1-based hour of the year, UTC) of an hour instant, the
+    same rule that maps ``events.ts`` to ``step``.  Computed from epoch
+    hours, so the session time zone plays no part."""
+    epoch_hour = F.floor(F.unix_seconds(F.col(hour)) / 3600).cast("long")
+    day = F.date_from_unix_date(F.floor(epoch_hour / 24).cast("int"))
+    return ((F.dayofyear(day) - 1) * 24 + F.pmod(epoch_hour, F.lit(24)) + 1).cast("int")
 
 
 def score_stream(model: PipelineModel, enriched_stream: DataFrame) -> DataFrame:
