@@ -14,7 +14,7 @@ SQL = E.oracle_sql()
 
 def _norm(v):
     if isinstance(v, float):
-        return 0.0 if v == 0 else v
+        return repr(v)  # strict: -0.0 and 0.0 differ
     if hasattr(v, "__float__") and not isinstance(v, (int, bool)):
         return float(v)
     return v
@@ -31,9 +31,16 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF001)
+    rel = con.sql(SQL[name])
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    for f in sdf.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType)
     res = con.execute(SQL[name])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)

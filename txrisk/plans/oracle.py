@@ -263,8 +263,8 @@ FROM test WHERE isFraud = 1 AND isFlaggedFraud = 0 ORDER BY tx_id"""
     q["rule_false_positives"] = W_E + """SELECT tx_id, step, type, CAST(amount AS DOUBLE) AS amount
 FROM test WHERE isFraud = 0 AND isFlaggedFraud = 1 ORDER BY tx_id"""
     q["rule_metrics_by_band"] = W_E + """SELECT band,
-  [0.0, 100.0, 1000.0, 10000.0, 100000.0, 1000000.0][band + 1] AS band_lo,
-  [100.0, 1000.0, 10000.0, 100000.0, 1000000.0, NULL][band + 1] AS band_hi,
+  CAST([0, 100, 1000, 10000, 100000, 1000000][band + 1] AS DOUBLE) AS band_lo,
+  CAST([100, 1000, 10000, 100000, 1000000, NULL][band + 1] AS DOUBLE) AS band_hi,
   rows, tp, fn, fp,
   CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END AS precision,
   CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END AS recall
