@@ -54,7 +54,7 @@ def top_customers(features: DataFrame, n: int = 10, key: str = S.ORIG) -> DataFr
 
 def customer_profile(features: DataFrame) -> DataFrame:
     """Fraud vs legit accounts: count and means of per-account values (means
-    of the rounded per-account figures, as the reference reports them)."""
+    of the rounded per-account figures, as the original report defines them)."""
     money = lambda c: F.col(c).cast("decimal(18,2)")  # noqa: E731 - 2-dp values
     return features.groupBy("is_fraud_customer").agg(
         F.count(F.lit(1)).alias("customer_count"),

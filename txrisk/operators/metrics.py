@@ -124,7 +124,7 @@ def auc_exact(df: DataFrame, label: str = S.LABEL, score="score",
 def auc_evaluator(preds: DataFrame, label: str = S.LABEL,
                   raw: str = "rawPrediction") -> float:
     """MLlib's ``BinaryClassificationEvaluator`` (areaUnderROC), as the
-    reference reports it.  Returns a driver-side float."""
+    original workflow reports it.  Returns a driver-side float."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw,
                                        metricName="areaUnderROC")
     return ev.evaluate(preds)

@@ -1,6 +1,6 @@
 """Rolling per-key velocity over a value-range frame.
 
-Semantics (kept from the reference): for each row, the count and the amount
+Semantics (kept from the original workflow): for each row, the count and the amount
 sum of rows with the same key whose order value lies in
 ``[order - lookback, order]`` -- a closed frame covering ``lookback + 1``
 values, including every peer in the same step.  NULL keys form one group;
@@ -50,7 +50,7 @@ def with_velocity(df: DataFrame, key: str = S.DEST, order: str = S.STEP,
     """``df`` plus the rolling count and sum columns.
 
     ``exclude_current=True`` uses the frame ``[order - lookback, order - 1]``
-    (strictly earlier steps); the default matches the reference."""
+    (strictly earlier steps); the default keeps the original frame."""
     rolled = rolling_totals(df, key, order, value, lookback, count_col, sum_col,
                             exclude_current)
     rk, ro = "_vk", "_vo"

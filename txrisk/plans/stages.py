@@ -1,4 +1,4 @@
-"""The reference's stages as DataFrame plans.
+"""The workflow stages as DataFrame plans.
 
 * ingest   -- raw CSV -> type-partitioned Parquet, plus the profile reports
 * enrich   -- risky rows -> rolling destination velocity -> reconciliation
@@ -127,7 +127,7 @@ def fit_all(spark: SparkSession, enriched: DataFrame, feature_sets: dict, cache_
 
 
 def raw_score():
-    """Class-1 margin of the classifier (the reference's AUC input)."""
+    """Class-1 margin of the classifier (the usual AUC input)."""
     from pyspark.ml.functions import vector_to_array
     return vector_to_array(F.col("rawPrediction")).getItem(1)
 
