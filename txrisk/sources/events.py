@@ -118,11 +118,12 @@ def events_to_transactions(events: DataFrame, event_time: str | None = None) ->
 
 
 def load_transactions(spark: SparkSession, sf_dir: str,
-                      types: Iterable[str] | None = None) -> DataFrame:
+                      types: Iterable[str] | None = None,
+                      event_time: str | None = None) -> DataFrame:
     """Transactions for a test-data directory.  ``types`` restricts the
     transaction types at the scan (the equivalent of partition pruning on
-    the type-partitioned layout)."""
+    the type-partitioned layout); ``event_time`` keeps the event instant."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    if types is not None:
+    if types:
         events = events.where(type_source_predicate(types))
-    return events_to_transactions(events)
+    return events_to_transactions(events, event_time=event_time)
