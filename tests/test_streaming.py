@@ -59,3 +59,27 @@ def test_score_stream_matches_batch(spark):
     got = sorted(tuple(r) for r in spark.table("scored").collect())
     want = sorted(tuple(r) for r in run.predictions.select(S.TX_ID, "prediction", "fraud_prob").collect())
     assert got == want
+
+
+def test_velocity_stream_job_resumes(spark):
+    from txrisk.streaming import run_velocity_stream
+
+    d = tempfile.mkdtemp(prefix="txrisk-job-")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ev.where(F.dayofyear("ts") <= 15).write.parquet(f"{d}/in/part1")
+    q = run_velocity_stream(spark, f"{d}/in/*", f"{d}/out", checkpoint=f"{d}/ckpt",
+                            available_now=True)
+    q.awaitTermination(300)
+    first = spark.read.parquet(f"{d}/out").count()
+    assert first > 0
+    # more files arrive; the restarted job continues from its checkpoint
+    ev.where(F.dayofyear("ts") > 15).write.parquet(f"{d}/in/part2")
+    q = run_velocity_stream(spark, f"{d}/in/*", f"{d}/out", checkpoint=f"{d}/ckpt",
+                            available_now=True)
+    q.awaitTermination(300)
+    out = spark.read.parquet(f"{d}/out")
+    assert out.count() > first
+    assert out.groupBy(S.DEST, "hour").count().where("count > 1").count() == 0
+    batch = rolling_totals(load_transactions(spark, SF001, types=S.RISKY_TYPES))
+    j = batch.join(out.select(S.DEST, S.STEP, F.col(S.VELOCITY_COUNT).alias("c")), [S.DEST, S.STEP])
+    assert j.count() > 0 and j.where(F.col("c") != F.col(S.VELOCITY_COUNT)).count() == 0

@@ -235,6 +235,7 @@ def threshold_costs(preds: DataFrame, score="fraud_prob", label: str = S.LABEL,
                    .agg(F.count_if(F.col(label) == 1).alias("_pos"),
                         F.count_if(F.col(label) != 1).alias("_neg")))
     ks = preds.sparkSession.range(grid + 2).select(F.col("id").cast("int").alias("k"))
+    # counts has at most grid + 1 rows: a proven bound for the broadcast
     per_k = ks.join(F.broadcast(counts), "k", "left").na.fill(0, ["_pos", "_neg"])
     below = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     at_or_above = Window.orderBy("k").rowsBetween(0, Window.unboundedFollowing)

@@ -74,3 +74,28 @@ def score_stream(model: PipelineModel, enriched_stream: DataFrame) -> DataFrame:
 
     return (model.transform(decimals_to_double(enriched_stream))
                  .withColumn("fraud_prob", positive_probability()))
+
+
+def run_velocity_stream(spark: SparkSession, in_path: str, out_path: str,
+                        checkpoint: str | None = None, watermark: str = "1 hour",
+                        available_now: bool = False, max_files_per_trigger: int | None = None):
+    """Start the streaming job: events files in ``in_path`` -> rolling
+    destination velocity -> Parquet files in ``out_path`` (append mode, one
+    row per destination and hour once the watermark has passed it).
+
+    The query checkpoint defaults to a folder under the session's checkpoint
+    directory, so a restarted job resumes where it stopped.  Returns the
+    ``StreamingQuery``."""
+    import uuid
+
+    from txrisk.session import ensure_checkpoint_dir
+
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/txrisk-velocity-{uuid.uuid4().hex}"
+    stream = read_event_stream(spark, in_path, max_files_per_trigger=max_files_per_trigger)
+    out = velocity_windows(stream, watermark=watermark).withColumn(S.STEP, step_of_hour())
+    writer = (out.writeStream.outputMode("append").format("parquet")
+                 .option("path", out_path).option("checkpointLocation", checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
