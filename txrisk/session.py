@@ -35,14 +35,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory, setting a local one only
-    when the session has none (tests); a cluster names a shared folder in
-    ``spark.checkpoint.dir`` and that one is always used as is."""
+    when the session has none and runs in local mode (tests); a cluster
+    names a shared folder in ``spark.checkpoint.dir`` and that one is always
+    used as is (without it, this raises rather than write machine-local
+    files)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; on a cluster it must name a shared "
+                "folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="txrisk-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
