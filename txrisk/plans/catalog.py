@@ -47,8 +47,15 @@ def _enriched(spark, d):
     return stages.enriched_from_dir(spark, d)
 
 
+def _split(spark, d):
+    """Train and test parts of the risky rows.  Queries that use no
+    enrichment column read these directly: the enrichment keeps every risky
+    row exactly once, so the rows are the same, without the window and join."""
+    return FL.train_test(_risky(spark, d))
+
+
 def _test_split(spark, d):
-    return FL.train_test(_enriched(spark, d))[1]
+    return _split(spark, d)[1]
 
 
 def _run(spark, d, features=ML.FULL_FEATURES):
@@ -124,11 +131,12 @@ def q_velocity_by_label(spark, d):
 
 
 def q_mismatch_by_label(spark, d):
-    return R.mismatch_by_label(_enriched(spark, d))
+    # reconciliation only: the velocity columns are not needed here
+    return R.mismatch_by_label(R.reconcile(_risky(spark, d)))
 
 
 def q_mismatch_long(spark, d):
-    return R.mismatch_long(R.mismatch_by_label(_enriched(spark, d)))
+    return R.mismatch_long(R.mismatch_by_label(R.reconcile(_risky(spark, d))))
 
 
 def q_velocity_windows(spark, d):
@@ -175,11 +183,11 @@ def q_amount_histogram(spark, d):
 
 
 def q_split_summary(spark, d):
-    return P.split_summary(_enriched(spark, d))
+    return P.split_summary(_risky(spark, d))
 
 
 def q_time_split(spark, d):
-    return FL.time_split(_enriched(spark, d)).select(S.TX_ID, S.STEP, "split")
+    return FL.time_split(_risky(spark, d)).select(S.TX_ID, S.STEP, "split")
 
 
 def q_legit_sample(spark, d):
@@ -194,12 +202,12 @@ def q_stratified_sample(spark, d):
 
 # -------------------------------------------------------------- model inputs
 def q_class_weight(spark, d):
-    train = FL.train_test(_enriched(spark, d))[0]
+    train = _split(spark, d)[0]
     return ML.with_class_weight(train).select(S.TX_ID, S.LABEL, ML.WEIGHT)
 
 
 def q_type_index(spark, d):
-    train = FL.train_test(_enriched(spark, d))[0]
+    train = _split(spark, d)[0]
     return ML.type_index(ML.type_indexer().fit(train), train)
 
 
