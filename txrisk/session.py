@@ -25,6 +25,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call-site capture for error messages walks the Python stack and makes
+        # extra JVM calls on every column function; off for batch runs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TXRISK_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

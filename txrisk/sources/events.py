@@ -43,6 +43,11 @@ ORIGIN_REUSE_MODULUS = 20
 ORIGIN_OFFSET = 1000000
 
 
+# Declared schema of the ``events`` table (no inference pass per read).
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                 "value double, props string")
+
+
 def _money(cents: Column) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
@@ -123,7 +128,7 @@ def load_transactions(spark: SparkSession, sf_dir: str,
     """Transactions for a test-data directory.  ``types`` restricts the
     transaction types at the scan (the equivalent of partition pruning on
     the type-partitioned layout); ``event_time`` keeps the event instant."""
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     if types:
         events = events.where(type_source_predicate(types))
     return events_to_transactions(events, event_time=event_time)

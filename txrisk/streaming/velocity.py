@@ -18,14 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
-from txrisk.sources.events import events_to_transactions, type_source_predicate
+from txrisk.sources.events import EVENTS_SCHEMA, events_to_transactions, type_source_predicate
 
 EVENT_TIME = "event_time"
 
-EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
-                 "value double, props string")
-
-
 def read_event_stream(spark: SparkSession, path: str, types=S.RISKY_TYPES,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream of transactions from Parquet files of ``events`` arriving in
