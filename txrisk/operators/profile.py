@@ -124,6 +124,13 @@ def amount_histogram(view: DataFrame, bins: int = 60, label: str = S.LABEL) -> D
              .orderBy(label, "bin"))
 
 
+def positive_rate(df: DataFrame, label: str = S.LABEL) -> DataFrame:
+    """Rows, positives and positive rate (%, 3 dp) of a whole table."""
+    return (df.agg(F.count(F.lit(1)).alias("rows"),
+                   F.count_if(F.col(label) == 1).alias("positives"))
+              .withColumn("positive_rate_pct", half_up_ratio(F.col("positives") * 100, "rows", 3)))
+
+
 def split_summary(df: DataFrame, split_step: int = S.SPLIT_STEP, label: str = S.LABEL) -> DataFrame:
     """Rows, positives and positive rate (%, 3 dp) of the train and test
     parts of the time split, in one pass."""

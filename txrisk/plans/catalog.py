@@ -74,6 +74,16 @@ def q_overview(spark, d):
     return P.overview(_tx(spark, d))
 
 
+def q_risky_overview(spark, d):
+    """Rows, distinct origins and distinct destinations of the risky subset."""
+    return P.overview(_risky(spark, d))
+
+
+def q_positive_rate(spark, d):
+    """Rows, fraud rows and fraud rate of the risky subset, before the split."""
+    return P.positive_rate(_risky(spark, d))
+
+
 def q_volume_by_type(spark, d):
     return _report(P.volume_by_type(_tx(spark, d)))
 

@@ -93,6 +93,12 @@ def _sql() -> dict[str, str]:
   count(DISTINCT nameOrig) + max(CASE WHEN nameOrig IS NULL THEN 1 ELSE 0 END) AS origins,
   count(DISTINCT nameDest) + max(CASE WHEN nameDest IS NULL THEN 1 ELSE 0 END) AS destinations
 FROM tx"""
+    q["risky_overview"] = W_R + """SELECT count(*) AS tx_count,
+  count(DISTINCT nameOrig) + max(CASE WHEN nameOrig IS NULL THEN 1 ELSE 0 END) AS origins,
+  count(DISTINCT nameDest) + max(CASE WHEN nameDest IS NULL THEN 1 ELSE 0 END) AS destinations
+FROM risky"""
+    q["positive_rate"] = W_R + f"""SELECT rows, positives, {hu('positives * 100', 'rows', 3)} AS positive_rate_pct
+FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE isFraud = 1) AS positives FROM risky)"""
     q["volume_by_type"] = W_TX + f"""SELECT type, count(*) AS tx_count,
   CAST(sum(amount) AS DOUBLE) AS total_amount,
   {hu('sum(amount)', 'count(amount)', 2, 2)} AS avg_amount
