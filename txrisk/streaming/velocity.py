@@ -2,8 +2,8 @@
 
 The batch feature counts, for a row in hour ``h``, the rows of the same
 destination in hours ``h-24 .. h`` (25 hours, peers included).  On a stream
-that is a sliding event-time window of 25 hours moving by 1 hour: the
-window that ends at ``h + 1`` holds exactly those rows.  Range frames over
+that is a sliding event-time window of 25 hours moving by 1 hour over
+hourly totals: the window that ends at ``h + 1`` holds exactly those rows.  Range frames over
 rows are not supported on streams; the windowed aggregation is, with a
 watermark bounding the state (one partial aggregate per destination and
 open window) and emitting each window once, when the watermark passes its
@@ -39,18 +39,27 @@ def velocity_windows(tx: DataFrame, key: str = S.DEST, time_col: str = EVENT_TIM
                      lookback_hours: int = S.LOOKBACK_STEPS, watermark: str | None = "1 hour",
                      value: str = S.AMOUNT) -> DataFrame:
     """Per (key, hour): count and value sum over the trailing
-    ``lookback_hours + 1`` hours, from sliding event-time windows.
+    ``lookback_hours + 1`` hours, from event-time windows.
+
+    Two chained aggregations: rows are first counted per key and 1-hour
+    tumbling window (each row is touched once and a hot key collapses
+    map-side to one row per task and hour); the hourly rows are then summed
+    over sliding windows of ``lookback_hours + 1`` hours moving by one hour
+    (``window_time`` carries the event time from the first aggregation to
+    the second).  Sliding windows directly over the rows would copy every
+    raw row into each of its ``lookback_hours + 1`` windows first.
 
     ``hour`` is the last hour the window covers (window end minus one hour).
     Works on batch and streaming DataFrames; ``watermark=None`` for batch."""
     src = tx.withWatermark(time_col, watermark) if watermark else tx
-    w = F.window(time_col, f"{lookback_hours + 1} hours", "1 hour")
-    return (src.groupBy(F.col(key), w.alias("_w"))
-               .agg(F.count(F.lit(1)).alias(S.VELOCITY_COUNT),
-                    F.sum(value).alias(S.VELOCITY_AMOUNT))
-               .select(key,
-                       (F.col("_w.end") - F.expr("INTERVAL 1 HOUR")).alias("hour"),
-                       S.VELOCITY_COUNT, S.VELOCITY_AMOUNT))
+    hourly = (src.groupBy(F.col(key), F.window(time_col, "1 hour").alias("_h"))
+                 .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s")))
+    w = F.window(F.window_time("_h"), f"{lookback_hours + 1} hours", "1 hour")
+    return (hourly.groupBy(F.col(key), w.alias("_w"))
+                  .agg(F.sum("_n").alias(S.VELOCITY_COUNT), F.sum("_s").alias(S.VELOCITY_AMOUNT))
+                  .select(key,
+                          (F.col("_w.end") - F.expr("INTERVAL 1 HOUR")).alias("hour"),
+                          S.VELOCITY_COUNT, S.VELOCITY_AMOUNT))
 
 
 def step_of_hour(hour: str = "hour") -> Column:
