@@ -104,3 +104,63 @@ def run_velocity_stream(spark: SparkSession, in_path: str, out_path: str,
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def _utc_wall_clock(epoch_seconds: int) -> Column:
+    """A TIMESTAMP_NTZ literal: the UTC wall clock of an epoch second."""
+    from datetime import datetime, timezone
+
+    t = datetime.fromtimestamp(epoch_seconds, tz=timezone.utc)
+    return F.make_timestamp_ntz(F.lit(t.year), F.lit(t.month), F.lit(t.day), F.lit(t.hour),
+                                F.lit(t.minute), F.lit(t.second))
+
+
+def hour_start(col: str = EVENT_TIME) -> Column:
+    """The UTC hour an instant falls in (epoch arithmetic, no time zone)."""
+    return F.timestamp_seconds(F.floor(F.unix_seconds(F.col(col)) / 3600) * 3600)
+
+
+def run_scoring_stream(spark: SparkSession, in_path: str, out_path: str, model: PipelineModel,
+                       checkpoint: str | None = None, watermark: str = "1 hour",
+                       available_now: bool = False, max_files_per_trigger: int | None = None):
+    """Streaming enrichment and scoring of the risky rows landing in ``in_path``.
+
+    The velocity stream emits a (destination, hour) value only once the
+    watermark has passed the hour, i.e. when it is final.  Each micro-batch of
+    those values is joined to the rows of exactly those hours -- read from the
+    landed files with an event-time range filter that reaches the Parquet
+    scan -- then reconciled, scored, and written to ``out_path/epoch=<id>``
+    (overwritten on replay, so a restarted epoch does not duplicate rows)."""
+    import uuid
+
+    from txrisk.operators.balances import reconcile
+    from txrisk.operators.model import score
+    from txrisk.session import ensure_checkpoint_dir
+
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/txrisk-scoring-{uuid.uuid4().hex}"
+    vel = velocity_windows(read_event_stream(spark, in_path, max_files_per_trigger=max_files_per_trigger),
+                           watermark=watermark)
+
+    def score_epoch(batch: DataFrame, epoch_id: int) -> None:
+        # the hour range of this epoch: two epoch-second values to the driver
+        lo, hi = batch.agg(F.min(F.unix_seconds("hour")), F.max(F.unix_seconds("hour"))).first()
+        if lo is None:
+            return
+        events = spark.read.schema(EVENTS_SCHEMA).parquet(in_path)
+        # range on the raw wall-clock column, so Parquet skips other row groups
+        events = events.where(type_source_predicate(S.RISKY_TYPES)
+                              & (F.col("ts") >= _utc_wall_clock(lo))
+                              & (F.col("ts") < _utc_wall_clock(hi + 3600)))
+        rows = events_to_transactions(events, event_time=EVENT_TIME)
+        rows = rows.withColumn("hour", hour_start())
+        enriched = reconcile(rows.join(batch, [S.DEST, "hour"], "inner"))
+        (score(model, enriched)
+            .select(S.TX_ID, S.STEP, S.TYPE, S.AMOUNT, S.DEST, S.VELOCITY_COUNT,
+                    S.VELOCITY_AMOUNT, S.LABEL, "prediction", "fraud_prob")
+            .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}"))
+
+    writer = vel.writeStream.foreachBatch(score_epoch).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
