@@ -35,3 +35,15 @@ def test_jobs_chain(spark):
     r6 = jobs.inspect(spark, out)
     assert r6["missed_fraud"].count() == m["fn"] and r6["false_alarms"].count() == m["fp"]
     assert spark.read.parquet(f"{out}/predictions").where(F.col("prediction").isNull()).count() == 0
+
+
+def test_cli_prints_reports(spark, capsys):
+    out = tempfile.mkdtemp(prefix="txrisk-cli-")
+    load_transactions(spark, "/root/testdata/sf0.001").drop(S.TX_ID) \
+        .write.option("header", "true").csv(f"{out}/raw")
+    jobs.main(["explore", "--csv", f"{out}/raw", "--out", out, "--rows", "3"])
+    jobs.main(["customers", "--out", out, "--rows", "3"])
+    text = capsys.readouterr().out
+    for name in ("overview", "volume_by_type", "fraud_rate_by_type", "rule_recall",
+                 "top_customers", "customer_profile"):
+        assert f"== {name}" in text
