@@ -87,3 +87,14 @@ def test_metrics_by_band(spark):
     assert got[0]["rows"] == 2 and got[0]["precision"] == 0.5 and got[0]["band_hi"] == 100.0
     assert got[1]["fn"] == 1 and got[1]["recall"] == 0.0
     assert got[2]["band_lo"] == 1000.0 and got[None]["rows"] == 1
+
+
+def test_threshold_costs_scores_outside_unit_interval(spark):
+    rows = [(-0.5, 1), (-0.01, 0), (0.0, 1), (0.55, 0), (1.0, 1), (1.5, 0), (3.0, 1)]
+    df = spark.createDataFrame(rows, "p double, isFraud int")
+    got = {r["k"]: (r["fn"], r["fp"]) for r in M.threshold_costs(df, score="p", grid=10).collect()}
+    assert sorted(got) == list(range(12))
+    for k in range(12):
+        fn = sum(1 for p, y in rows if y == 1 and not p * 10 >= k)
+        fp = sum(1 for p, y in rows if y == 0 and p * 10 >= k)
+        assert got[k] == (fn, fp), k

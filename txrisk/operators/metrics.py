@@ -229,13 +229,15 @@ def threshold_costs(preds: DataFrame, score="fraud_prob", label: str = S.LABEL,
     combined); the per-threshold totals are running sums over that bounded
     table, so the data is read once."""
     s = _c(score).cast("double")
-    cell = F.least(F.lit(grid), F.floor(s * grid).cast("int"))
+    # cells -1 (below every threshold) .. grid + 1 (above every threshold):
+    # exact for scores outside [0, 1] too
+    cell = F.least(F.lit(grid + 1), F.greatest(F.lit(-1), F.floor(s * grid))).cast("int")
     counts = (preds.where(s.isNotNull() & F.col(label).isNotNull())
                    .groupBy(cell.alias("k"))
                    .agg(F.count_if(F.col(label) == 1).alias("_pos"),
                         F.count_if(F.col(label) != 1).alias("_neg")))
-    ks = preds.sparkSession.range(grid + 2).select(F.col("id").cast("int").alias("k"))
-    # counts has at most grid + 1 rows: a proven bound for the broadcast
+    ks = preds.sparkSession.range(-1, grid + 2).select(F.col("id").cast("int").alias("k"))
+    # counts has at most grid + 3 rows: a proven bound for the broadcast
     per_k = ks.join(F.broadcast(counts), "k", "left").na.fill(0, ["_pos", "_neg"])
     below = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     at_or_above = Window.orderBy("k").rowsBetween(0, Window.unboundedFollowing)
@@ -245,7 +247,8 @@ def threshold_costs(preds: DataFrame, score="fraud_prob", label: str = S.LABEL,
         F.coalesce(F.sum("_pos").over(below), F.lit(0)).cast("long").alias("fn"),
         F.coalesce(F.sum("_neg").over(at_or_above), F.lit(0)).cast("long").alias("fp"),
     )
-    return out.withColumn("cost", F.lit(cost_fn) * F.col("fn") + F.lit(cost_fp) * F.col("fp"))
+    return (out.where(F.col("k") >= 0)
+               .withColumn("cost", F.lit(cost_fn) * F.col("fn") + F.lit(cost_fp) * F.col("fp")))
 
 
 def best_threshold(costs: DataFrame) -> DataFrame:

@@ -282,7 +282,7 @@ FROM (SELECT CASE WHEN amount >= 1000000 THEN 5 WHEN amount >= 100000 THEN 4 WHE
              count(*) FILTER (WHERE isFraud = 0 AND isFlaggedFraud = 1) AS fp
       FROM test GROUP BY 1)"""
     tc = """sc AS (
-  SELECT least(100, CAST(floor(CAST(amount AS DOUBLE) / (CAST(amount AS DOUBLE) + 100.0) * 100) AS INTEGER)) AS cell,
+  SELECT CAST(least(101, greatest(-1, floor(CAST(amount AS DOUBLE) / (CAST(amount AS DOUBLE) + 100.0) * 100))) AS INTEGER) AS cell,
          isFraud FROM test WHERE amount IS NOT NULL AND isFraud IS NOT NULL),
 tc AS (
   SELECT CAST(k AS INTEGER) AS k, CAST(k AS DOUBLE) / 100.0 AS threshold,
