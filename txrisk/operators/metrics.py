@@ -63,32 +63,6 @@ def prf(conf: DataFrame) -> DataFrame:
 # AUC
 
 
-def _rank_sum_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One summary row per range partition of the distinct-score table,
-    which arrives sorted by score: the smallest score, the positive and
-    negative totals, and sum(pos * (2 * negatives_below_in_partition + neg))."""
-    lo = None
-    pos_total = neg_total = partial = 0
-    for b in batches:
-        if b.empty:
-            continue
-        if lo is None:
-            lo = float(b["score"].iloc[0])
-        pos = b["pos"].to_numpy(dtype="int64")
-        neg = b["neg"].to_numpy(dtype="int64")
-        below = neg.cumsum() - neg + neg_total
-        term = 2 * below + neg
-        if pos.size and int(pos.max()) * int(term.max()) * pos.size < 2 ** 62:
-            partial += int((pos * term).sum())
-        else:  # exact fallback with Python integers
-            partial += sum(int(a) * int(t) for a, t in zip(pos, term))
-        pos_total += int(pos.sum())
-        neg_total += int(neg.sum())
-    if lo is not None:
-        yield pd.DataFrame({"lo": [lo], "pos": [pos_total], "neg": [neg_total],
-                            "partial": pd.Series([partial], dtype=object)})
-
-
 def auc_exact(df: DataFrame, label: str = S.LABEL, score="score",
               partitions: int | None = None) -> DataFrame:
     """Exact area under the ROC curve (Mann-Whitney, ties count one half),
@@ -102,6 +76,33 @@ def auc_exact(df: DataFrame, label: str = S.LABEL, score="score",
     over the summary table -- one row per partition -- adds the negatives of
     all lower partitions.  Nothing passes through the driver.
     """
+    # Defined here so that cloudpickle ships it to the Python workers by
+    # value: the workers need no copy of this package on their path.
+    def _rank_sum_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One summary row per range partition of the distinct-score table,
+        which arrives sorted by score: the smallest score, the positive and
+        negative totals, and sum(pos * (2 * negatives_below_in_partition + neg))."""
+        lo = None
+        pos_total = neg_total = partial = 0
+        for b in batches:
+            if b.empty:
+                continue
+            if lo is None:
+                lo = float(b["score"].iloc[0])
+            pos = b["pos"].to_numpy(dtype="int64")
+            neg = b["neg"].to_numpy(dtype="int64")
+            below = neg.cumsum() - neg + neg_total
+            term = 2 * below + neg
+            if pos.size and int(pos.max()) * int(term.max()) * pos.size < 2 ** 62:
+                partial += int((pos * term).sum())
+            else:  # exact fallback with Python integers
+                partial += sum(int(a) * int(t) for a, t in zip(pos, term))
+            pos_total += int(pos.sum())
+            neg_total += int(neg.sum())
+        if lo is not None:
+            yield pd.DataFrame({"lo": [lo], "pos": [pos_total], "neg": [neg_total],
+                                "partial": pd.Series([partial], dtype=object)})
+
     s, y = _c(score).cast("double"), F.col(label)
     d = (df.where(s.isNotNull() & y.isNotNull())
            .groupBy(s.alias("score"))
