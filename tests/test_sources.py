@@ -54,3 +54,15 @@ def test_events_type_filter_reaches_scan(spark):
     plan = plan_text(df)
     assert "PushedFilters: [In(event_type, [click,purchase])]" in plan
     assert df.select(F.collect_set(S.TYPE)).first()[0].__len__() == 2
+
+
+def test_write_tx_caps_rows_per_file(spark):
+    import glob
+
+    tx = load_transactions(spark, SF001).coalesce(1)
+    d = tempfile.mkdtemp(prefix="txrisk-io-")
+    files.write_tx(tx, f"{d}/tx", max_records_per_file=100)
+    n_transfer = tx.where(F.col(S.TYPE) == "TRANSFER").count()
+    parts = glob.glob(f"{d}/tx/type=TRANSFER/*.parquet")
+    assert len(parts) == -(-n_transfer // 100)
+    assert _same(files.read_tx(spark, f"{d}/tx"), tx)
