@@ -66,3 +66,14 @@ def test_write_tx_caps_rows_per_file(spark):
     parts = glob.glob(f"{d}/tx/type=TRANSFER/*.parquet")
     assert len(parts) == -(-n_transfer // 100)
     assert _same(files.read_tx(spark, f"{d}/tx"), tx)
+
+
+def test_csv_header_must_match_schema(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="txrisk-io-")
+    tx = load_transactions(spark, SF001).drop(S.TX_ID)
+    swapped = tx.select(S.TYPE, S.STEP, *[c for c in tx.columns if c not in (S.TYPE, S.STEP)])
+    swapped.write.option("header", "true").csv(f"{d}/raw")
+    with pytest.raises(Exception):
+        files.read_csv(spark, f"{d}/raw").collect()

@@ -23,7 +23,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = S.RAW_C
     if infer or schema is None:
         reader = reader.option("inferSchema", "true")
     else:
-        reader = reader.schema(schema)
+        # check the header names against the declared schema instead of
+        # silently mapping columns by position
+        reader = reader.schema(schema).option("enforceSchema", "false")
     return reader.csv(path)
 
 
