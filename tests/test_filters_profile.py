@@ -69,3 +69,12 @@ def test_rule_recall_without_fraud(spark):
     df = tx_frame(spark, [tx_row(1, 1, fraud=0, flagged=1)])
     r = P.rule_recall(df).first()
     assert (r["total_fraud"], r["flagged_fraud"], r["recall_pct"]) == (0, 0, None)
+
+
+def test_overview_approx_close_to_exact(spark):
+    tx = load_transactions(spark, "/root/testdata/sf0.01")
+    exact = P.overview(tx, count_null=False).first()
+    approx = P.overview(tx, count_null=False, approx=True).first()
+    assert approx["tx_count"] == exact["tx_count"]
+    for c in ("origins", "destinations"):
+        assert abs(approx[c] - exact[c]) <= 0.1 * exact[c]
