@@ -9,8 +9,8 @@ prefix (``PREFIX_HEX`` hex digits, at most 16**PREFIX_HEX buckets); a
 running total over that bounded bucket table gives the cut bucket where the
 sample fills up.  Buckets below the cut are taken whole; inside the cut
 bucket a row_number partitioned by bucket picks the remaining rows.  The
-cut and the count before it are scalar subqueries, so ``n`` may itself be
-a column expression (a stratified sample sized from the data).
+cut and the count before it come from one scalar subquery, so ``n`` may
+itself be a column expression (a stratified sample sized from the data).
 """
 
 from __future__ import annotations
@@ -39,8 +39,12 @@ def hash_sample(df: DataFrame, n, seed: int = SAMPLE_SEED, key: str = S.TX_ID) -
     # Running total over the bucket table: at most 16**PREFIX_HEX rows.
     running = buckets.withColumn(
         "_cum", F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-    cut = running.where(F.col("_cum") >= n).agg(F.min("_b")).scalar()
-    before = running.where(F.col("_b") < cut).agg(F.coalesce(F.max("_cum"), F.lit(0))).scalar()
+    # one scalar subquery: the first bucket where the running total reaches
+    # n, and the rows in all buckets before it
+    at_cut = running.where(F.col("_cum") >= n).agg(
+        F.min_by(F.struct(F.col("_b").alias("b"), (F.col("_cum") - F.col("_c")).alias("before")),
+                 F.col("_b")).alias("s")).scalar()
+    cut, before = at_cut.getField("b"), at_cut.getField("before")
     rn = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
     keep = h.where(cut.isNull() | (F.col("_b") <= cut)).withColumn("_rn", rn)
     return (keep.where(cut.isNull() | (F.col("_b") < cut) | (F.col("_rn") <= n - before))
