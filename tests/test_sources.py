@@ -77,3 +77,12 @@ def test_csv_header_must_match_schema(spark):
     swapped.write.option("header", "true").csv(f"{d}/raw")
     with pytest.raises(Exception):
         files.read_csv(spark, f"{d}/raw").collect()
+
+
+def test_scan_type_filter_equals_generic_filter(spark):
+    # includes DEBIT, whose source rows are NULL or unknown event types
+    base = load_transactions(spark, SF001)
+    for types in (["DEBIT"], ["TRANSFER", "DEBIT"], ["PAYMENT", "CASH_IN"], list(S.TX_TYPES)):
+        pushed = load_transactions(spark, SF001, types=types)
+        assert _same(pushed, risky(base, types)), types
+    assert base.where(F.col(S.TYPE) == "DEBIT").count() > 0
