@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import chat, license_scan, mixing, quality, secret_scan
+from txrisk.llm import bm25, chat, license_scan, line_dedup, mixing, ngram_join, packing, quality, secret_scan, toxicity
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +21,14 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": _over("documents", quality.quality_digest),
         "op2_source_mix": _over("documents", mixing.mix_digest),
         "op3_chat_format": _over("conversations", chat.chat_digest),
+        "op4_jaccard_join": _over("documents", ngram_join.component_ids),
         "op5_license_scan": _over("documents", license_scan.license_digest),
         "op6_secret_scan": _over("documents", secret_scan.secret_digest),
+        "op7_bm25_topk": _over("documents", bm25.bm25_digest),
+        "op8_line_dedup": _over("documents", line_dedup.line_digest),
+        "op9_toxicity": lambda spark, sf_dir: toxicity.toxicity(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+        "op10_best_fit_packing": _over("documents", packing.packed),
     }
 
 
