@@ -3,9 +3,10 @@
 Members of a group (a shared n-gram, a shared segment) are candidate partners.
 A group may hold a third of all members, so its pairs are never all written
 out.  In a round every group names one pivot and compares its other members
-with it: as many pairs as members.  Links join classes, and only pairs between
-different classes are still of interest, so large groups of alike members
-vanish.  Once the pairs left are no more than a few times the members, all of
+with it: as many pairs as members.  Groups that hold the same members name
+different pivots, so a set of alike members is compared with many of its own in
+one round.  Links join classes, and only pairs between different classes are
+still of interest, so large groups of alike members vanish.  Once the pairs left are no more than a few times the members, all of
 them are compared.  The classes are exact: a pair is left out only if its two
 members are known to be connected, or were compared before.
 """
@@ -87,7 +88,7 @@ def connected(members: DataFrame, may_link: Callable[[Column, Column], Column],
             pairs = (classes.join(m.select("grp", "comp", own.alias("x")), ["grp", "comp"])
                      .join(m.select("grp", F.col("comp").alias("comp_b"), own.alias("y")), ["grp", "comp_b"]))
         else:
-            pivots = m.groupBy("grp").agg(F.min_by(own, F.struct(F.xxhash64("id", F.lit(turn)), "id")).alias("y"))
+            pivots = m.groupBy("grp").agg(F.min_by(own, F.struct(F.xxhash64("grp", "id", F.lit(turn)), "id")).alias("y"))
             pairs = m.select("grp", own.alias("x")).join(pivots, "grp").where("x.comp <> y.comp")
         pairs = (pairs.where(may_link(F.col("x"), F.col("y")))
                  .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
