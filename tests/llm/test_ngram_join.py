@@ -44,10 +44,10 @@ def corpus(rng):
     return rows
 
 
-@pytest.mark.parametrize("pairs", [3, 0])  # 0: pivot rounds as for large groups
+@pytest.mark.parametrize("pairs", [1, 0])  # 0: pivot rounds as for large groups
 def test_components_equal_brute_force(spark, monkeypatch, pairs):
     monkeypatch.setattr(linking, "PAIRS_PER_MEMBER", pairs)
-    rows = corpus(random.Random(11 + pairs))
+    rows = corpus(random.Random(12 + pairs))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.component_ids(docs).collect()}
     assert got == brute(rows)

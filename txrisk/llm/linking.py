@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from txrisk.llm.common import small_side, written
 
 #: Pairs left per member at which the rest is compared at once, and rounds after which it is in any case.
-PAIRS_PER_MEMBER, ROUNDS = 3, 8
+PAIRS_PER_MEMBER, ROUNDS = 1, 8
 
 
 def components(links: DataFrame) -> DataFrame:
