@@ -6,8 +6,9 @@ out.  In a round every group names one pivot and compares its other members
 with it: as many pairs as members.  Groups that hold the same members name
 different pivots, so a set of alike members is compared with many of its own in
 one round.  Links join classes, and only pairs between different classes are
-still of interest, so large groups of alike members vanish.  Once the pairs left are no more than a few times the members, all of
-them are compared.  The classes are exact: a pair is left out only if its two
+still of interest, so large groups of alike members vanish.  Once the pairs left are no more than the members, or a round has
+not removed half of them (what is left then aren't alike members), all of them
+are compared, each pair in one group only.  The classes are exact: a pair is left out only if its two
 members are known to be connected, or were compared before.
 """
 
@@ -56,17 +57,19 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def connected(members: DataFrame, may_link: Callable[[Column, Column], Column],
-              verify: Callable[[DataFrame], DataFrame], attrs: list[str]) -> tuple[DataFrame, DataFrame]:
+              verify: Callable[[DataFrame], DataFrame], attrs: list[str],
+              met_before: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """Classes of ``members`` (grp, id, *attrs).
 
     ``may_link`` tells from the attributes (as structs) of two members whether
-    they need comparing; ``verify`` keeps the linked ones of pairs (a, b).
+    they need comparing, ``met_before`` whether they meet in another group that
+    comes earlier; ``verify`` keeps the linked ones of pairs (a, b).
     Returns (id, root) of every linked id, and the links found.
     """
     members = written(members.select("grp", "id", *attrs), "members")
     n = members.count()
     own = F.struct("id", "comp", *attrs)
-    labels = tested = links = None
+    labels = tested = links = before = None
     for turn in range(ROUNDS + 1):
         m = members.withColumn("comp", F.col("id"))
         if labels is not None:
@@ -79,7 +82,8 @@ def connected(members: DataFrame, may_link: Callable[[Column, Column], Column],
         rest = left.agg(F.sum("pairs")).first()[0] or 0
         if not rest:
             break
-        last = turn == ROUNDS or rest <= PAIRS_PER_MEMBER * n
+        last = turn == ROUNDS or rest <= PAIRS_PER_MEMBER * n or (before is not None and 2 * rest > before)
+        before = rest
         m = written(m.join(small_side(left.select("grp")), "grp"), "members")
         if last:
             # pairs of classes of a group, then their members: no pair within a class is made
@@ -87,6 +91,8 @@ def connected(members: DataFrame, may_link: Callable[[Column, Column], Column],
             classes = (side.join(side.withColumnRenamed("comp", "comp_b"), "grp").where("comp < comp_b"))
             pairs = (classes.join(m.select("grp", "comp", own.alias("x")), ["grp", "comp"])
                      .join(m.select("grp", F.col("comp").alias("comp_b"), own.alias("y")), ["grp", "comp_b"]))
+            if met_before:
+                pairs = pairs.where(~met_before(F.col("x"), F.col("y")))
         else:
             pivots = m.groupBy("grp").agg(F.min_by(own, F.struct(F.xxhash64("grp", "id", F.lit(turn)), "id")).alias("y"))
             pairs = m.select("grp", own.alias("x")).join(pivots, "grp").where("x.comp <> y.comp")

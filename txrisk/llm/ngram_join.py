@@ -43,6 +43,8 @@ NUM, DEN = 75, 100
 STRETCH = 8
 #: Shingles that a task holds before it passes them on, or merges them.
 HOLD = 1 << 20
+#: Postings carry the prefix before them, up to so many shingles, so that a pair is made in one of its groups.
+CARRY = 64
 _U = np.uint64
 
 
@@ -264,6 +266,11 @@ def _may_link(x: Column, y: Column) -> Column:
     return length & (room >= least)
 
 
+def _met_before(x: Column, y: Column) -> Column:
+    """Prefixes are in one order, so the first common shingle of one is that of the other."""
+    return F.coalesce(F.arrays_overlap(x["before"], y["before"]), F.lit(False))
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, key, n) of all documents; (key, root) of linked classes; links."""
     docs = docs.select("doc_id", "text")
@@ -278,9 +285,11 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         sets = sets.dropDuplicates(["key"])  # rows that repeat an id
     sets = written(sets, "sets")
     lists = written(ordered(sets), "lists")
-    members = lists.select(F.col("key").alias("id"), "n", "shared", F.posexplode_outer("prefix").alias("at", "grp")) \
-        .select("grp", "id", "n", (F.col("n") - F.col("shared") + F.col("at")).alias("pos"))
-    roots, links = connected(members, _may_link, verifier(lists), ["n", "pos"])
+    members = lists.select(F.col("key").alias("id"), "n", "shared", "prefix",
+                           F.posexplode_outer("prefix").alias("at", "grp")) \
+        .withColumn("before", F.when(F.size("prefix") <= CARRY, F.slice("prefix", F.lit(1), F.col("at")))) \
+        .select("grp", "id", "n", (F.col("n") - F.col("shared") + F.col("at")).alias("pos"), "before")
+    roots, links = connected(members, _may_link, verifier(lists), ["n", "pos", "before"], _met_before)
     return every, roots.select(F.col("id").alias("key"), "root"), links
 
 
