@@ -52,3 +52,43 @@ def test_ablation_ordering(spark):
     assert rows["full"]["auc"] > rows["no_balance_at_all"]["auc"]
     m = stages.model_metrics(stages.model_run(spark, enr, maxIter=10)).first()
     assert m["tp"] + m["fn"] == enr.where((F.col(S.STEP) > 600) & (F.col(S.LABEL) == 1)).count()
+
+
+def test_rewritten_input_changes_the_model(spark):
+    """Nothing is kept between runs: other labels give another model."""
+    enr = stages.enriched_from_dir(spark, SF01)
+    a = stages.model_run(spark, enr, maxIter=3)
+    flipped = enr.withColumn(S.LABEL, (F.col(S.AMOUNT) > 100).cast("int"))
+    b = stages.model_run(spark, flipped, maxIter=3)
+    of = lambda r: [x[1] for x in ML.importances(spark, r.model, r.features).orderBy("feature").collect()]
+    assert of(a) != of(b)
+
+
+FIT = """
+import json, sys
+sys.path.insert(0, sys.argv[2])
+from txrisk.session import local_session
+spark = local_session(sys.argv[1])
+from pyspark.sql import functions as F
+from txrisk.plans import stages
+enr = stages.enriched_from_dir(spark, "/root/testdata/sf0.1")
+run = stages.model_run(spark, enr, maxIter=2)
+rows = run.predictions.agg(F.sum("prediction"), F.sum(F.round("fraud_prob", 9)), F.count("*")).first()
+print(json.dumps([*rows, [round(x, 9) for x in run.model.stages[-1].featureImportances.toArray().tolist()]]))
+"""
+
+
+def test_model_does_not_depend_on_the_cores():
+    import json
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    got = []
+    for cores in ("2", "8"):
+        out = subprocess.run([sys.executable, "-c", FIT, cores, str(ROOT)], capture_output=True, text=True, timeout=600)
+        got.append(json.loads(out.stdout.strip().splitlines()[-1]))
+    (p, s, n, imp), (p2, s2, n2, imp2) = got
+    assert (p, n) == (p2, n2) and abs(s - s2) < 1e-6
+    assert all(abs(a - b) < 1e-6 for a, b in zip(imp, imp2))

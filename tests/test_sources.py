@@ -41,9 +41,7 @@ def test_flat_parquet_and_predictions_sink(spark):
     p = files.read_table(spark, f"{d}/pred")
     assert set(p.columns) == set(files.PREDICTION_COLUMNS)
     files.save_model(run.model, f"{d}/model")
-    again = files.load_model(f"{d}/model").transform(run.predictions.select(
-        *[c for c in run.predictions.columns
-          if c not in ("type_idx", "features", "rawPrediction", "probability", "prediction", "fraud_prob")]))
+    again = files.load_model(f"{d}/model").transform(stages.ML.model_inputs(run.test))
     a = again.select(S.TX_ID, "prediction").orderBy(S.TX_ID).collect()
     b = run.predictions.select(S.TX_ID, "prediction").orderBy(S.TX_ID).collect()
     assert a == b

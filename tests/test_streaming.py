@@ -112,3 +112,43 @@ def test_scoring_stream_equals_batch(spark):
                         | (F.col("fraud_prob") != F.col("w_fraud_prob"))).count() == 0
     # only the last hours, whose windows the final watermark has not passed, wait
     assert n >= 0.9 * enr.count()
+
+
+def test_jobs_restart_without_a_checkpoint_argument(spark):
+    """Stopped and started again, with no checkpoint given: no row twice, none lost."""
+    from txrisk.streaming import run_scoring_stream, run_velocity_stream
+
+    d = tempfile.mkdtemp(prefix="txrisk-restart-")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    run = stages.model_run(spark, stages.enriched_from_dir(spark, SF01), maxIter=2)
+    for k, part in enumerate((F.dayofyear("ts") <= 12, F.dayofyear("ts") > 12)):
+        ev.where(part).coalesce(1).write.mode("append").parquet(f"{d}/in")
+        for job, out in ((lambda o: run_velocity_stream(spark, f"{d}/in", o, available_now=True), "vel"),
+                         (lambda o: run_scoring_stream(spark, f"{d}/in", o, run.model, available_now=True), "scored")):
+            job(f"{d}/{out}").awaitTermination(300)
+    vel = spark.read.parquet(f"{d}/vel")
+    assert vel.groupBy(S.DEST, "hour").count().where("count > 1").count() == 0
+    scored = spark.read.parquet(f"{d}/scored")
+    assert scored.select(S.TX_ID).distinct().count() == scored.count()
+    last = scored.agg(F.max(S.STEP)).first()[0]
+    risky = load_transactions(spark, SF001, types=S.RISKY_TYPES)
+    assert scored.count() == risky.where(F.col(S.STEP) <= last).count()
+    assert vel.where(F.col(S.STEP) <= last).count() == risky.where(F.col(S.STEP) <= last).select(S.DEST, S.STEP).distinct().count()
+
+
+def test_rows_that_land_after_their_hour_is_final(spark):
+    from txrisk.streaming import run_scoring_stream, unscored_rows
+
+    d = tempfile.mkdtemp(prefix="txrisk-late-")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    late = (F.dayofyear("ts") == 3) & (F.col("event_id") % 2 == 0)
+    run = stages.model_run(spark, stages.enriched_from_dir(spark, SF01), maxIter=2)
+    for part in (~late, late):
+        ev.where(part).coalesce(1).write.mode("append").parquet(f"{d}/in")
+        run_scoring_stream(spark, f"{d}/in", f"{d}/out", run.model, available_now=True).awaitTermination(300)
+    scored = spark.read.parquet(f"{d}/out")
+    risky = load_transactions(spark, SF001, types=S.RISKY_TYPES)
+    missed = {r[0] for r in risky.join(ev.where(late).select(F.col("event_id").alias(S.TX_ID)), S.TX_ID)
+              .select(S.TX_ID).collect()}
+    assert missed and {r[0] for r in unscored_rows(spark, f"{d}/in", f"{d}/out").select(S.TX_ID).collect()} == missed
+    assert not missed & {r[0] for r in scored.select(S.TX_ID).collect()}

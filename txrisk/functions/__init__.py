@@ -6,8 +6,6 @@ from txrisk.functions.numeric import (  # noqa: F401
     flag,
     half_up_ratio,
     money_from_cents,
-    round_money,
     sample_stddev_cents,
-    to_double,
 )
 from txrisk.functions.vectors import positive_probability  # noqa: F401

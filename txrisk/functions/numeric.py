@@ -55,15 +55,6 @@ def money_from_cents(c) -> Column:
     return (_c(c).cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
 
-def round_money(x, digits: int = 2) -> Column:
-    """HALF_UP rounding of an exact decimal expression, kept decimal."""
-    return F.round(_c(x), digits)
-
-
-def to_double(x) -> Column:
-    return _c(x).cast("double")
-
-
 def flag(predicate: Column) -> Column:
     """Boolean predicate to an integer 0/1 flag; NULL stays NULL."""
     return predicate.cast("int")

@@ -18,14 +18,14 @@ def customer_features(risky: DataFrame, key: str = S.ORIG) -> DataFrame:
     """Ten aggregates per origin account plus the account-level label.
 
     Means are HALF_UP-rounded from exact sums, the standard deviation is the
-    sample one (NULL for a single row) from exact integer moments."""
-    c = cents(S.AMOUNT).cast("decimal(38,0)")
+    sample one (NULL for a single row) from exact integer moments; the sum of
+    cents is the total times 100, and only the square needs the wide type."""
+    c = cents(S.AMOUNT).cast("decimal(18,0)")
     g = risky.groupBy(key).agg(
         F.count(F.lit(1)).alias("tx_count"),
         F.sum(S.AMOUNT).alias("total_sent"),
         F.count(S.AMOUNT).alias("_n"),
         F.max(S.AMOUNT).alias("max_amount"),
-        F.sum(c).alias("_s1"),
         F.sum(c * c).alias("_s2"),
         F.sum(F.when(F.col(S.TYPE) == "TRANSFER", 1).otherwise(0)).cast("long").alias("transfer_count"),
         F.sum(F.when(F.col(S.TYPE) == "CASH_OUT", 1).otherwise(0)).cast("long").alias("cashout_count"),
@@ -39,7 +39,7 @@ def customer_features(risky: DataFrame, key: str = S.ORIG) -> DataFrame:
         F.col("total_sent"),
         half_up_ratio("total_sent", "_n", 2, num_scale=2).alias("avg_amount"),
         F.col("max_amount"),
-        sample_stddev_cents("_n", "_s1", "_s2").alias("amount_stddev"),
+        sample_stddev_cents("_n", F.col("total_sent") * 100, "_s2").alias("amount_stddev"),
         "transfer_count", "cashout_count", "fraud_count",
         half_up_ratio("_ob", "_obn", 2, num_scale=2).alias("avg_balance_before"),
         "zero_balance_count",
@@ -54,8 +54,9 @@ def top_customers(features: DataFrame, n: int = 10, key: str = S.ORIG) -> DataFr
 
 def customer_profile(features: DataFrame) -> DataFrame:
     """Fraud vs legit accounts: count and means of per-account values (means
-    of the rounded per-account figures, as the original report defines them)."""
-    money = lambda c: F.col(c).cast("decimal(18,2)")  # noqa: E731 - 2-dp values
+    of the rounded per-account figures, as the original report defines them).
+    Totals stay the exact decimals that ``customer_features`` returns."""
+    money = lambda c: F.col(c).cast("decimal(28,2)")  # noqa: E731 - 2-dp values
     return features.groupBy("is_fraud_customer").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("tx_count").alias("_tc"), F.count("tx_count").alias("_tcn"),

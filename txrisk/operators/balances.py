@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +18,17 @@ def reconcile(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
     ``orig_balance_diff = round(old - new - amount, 2)`` at the origin and
     ``dest_balance_diff = round(new - old - amount, 2)`` at the destination;
     a mismatch is ``abs(diff) > tolerance``.  On exact decimals a 1-cent gap
-    is not a mismatch and a 2-cent gap is; NULL inputs give NULL."""
+    is not a mismatch and a 2-cent gap is; NULL inputs give NULL.  The
+    tolerance is compared as written, with all its decimals."""
+    most = F.lit(Decimal(str(tolerance)))
     orig = F.round(F.col(S.OLD_ORIG) - F.col(S.NEW_ORIG) - F.col(S.AMOUNT), 2)
     dest = F.round(F.col(S.NEW_DEST) - F.col(S.OLD_DEST) - F.col(S.AMOUNT), 2)
     return df.withColumns({
         S.ORIG_DIFF: orig,
         S.DEST_DIFF: dest,
     }).withColumns({
-        S.ORIG_MISMATCH: flag(F.abs(F.col(S.ORIG_DIFF)) > F.lit(tolerance).cast("decimal(10,2)")),
-        S.DEST_MISMATCH: flag(F.abs(F.col(S.DEST_DIFF)) > F.lit(tolerance).cast("decimal(10,2)")),
+        S.ORIG_MISMATCH: flag(F.abs(F.col(S.ORIG_DIFF)) > most),
+        S.DEST_MISMATCH: flag(F.abs(F.col(S.DEST_DIFF)) > most),
     })
 
 

@@ -75,20 +75,25 @@ def auc_exact(df: DataFrame, label: str = S.LABEL, score="score",
     functions cannot express without a single-partition window); a window
     over the summary table -- one row per partition -- adds the negatives of
     all lower partitions.  Nothing passes through the driver.
+
+    NaN scores count as one score above all others (Spark's order), whatever
+    the partition count; NULL scores and labels are left out.
     """
     # Defined here so that cloudpickle ships it to the Python workers by
     # value: the workers need no copy of this package on their path.
     def _rank_sum_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """One summary row per range partition of the distinct-score table,
-        which arrives sorted by score: the smallest score, the positive and
-        negative totals, and sum(pos * (2 * negatives_below_in_partition + neg))."""
-        lo = None
+        which arrives sorted by score: its number (partitions follow the score
+        order), the positive and negative totals, and
+        sum(pos * (2 * negatives_below_in_partition + neg))."""
+        from pyspark import TaskContext
+
+        seen = False
         pos_total = neg_total = partial = 0
         for b in batches:
             if b.empty:
                 continue
-            if lo is None:
-                lo = float(b["score"].iloc[0])
+            seen = True
             pos = b["pos"].to_numpy(dtype="int64")
             neg = b["neg"].to_numpy(dtype="int64")
             below = neg.cumsum() - neg + neg_total
@@ -99,8 +104,8 @@ def auc_exact(df: DataFrame, label: str = S.LABEL, score="score",
                 partial += sum(int(a) * int(t) for a, t in zip(pos, term))
             pos_total += int(pos.sum())
             neg_total += int(neg.sum())
-        if lo is not None:
-            yield pd.DataFrame({"lo": [lo], "pos": [pos_total], "neg": [neg_total],
+        if seen:
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "pos": [pos_total], "neg": [neg_total],
                                 "partial": pd.Series([partial], dtype=object)})
 
     s, y = _c(score).cast("double"), F.col(label)
@@ -110,8 +115,8 @@ def auc_exact(df: DataFrame, label: str = S.LABEL, score="score",
     ranged = (d.repartitionByRange(partitions, "score") if partitions
               else d.repartitionByRange("score"))
     parts = ranged.sortWithinPartitions("score").mapInPandas(
-        _rank_sum_partition, "lo double, pos long, neg long, partial decimal(38,0)")
-    w = Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+        _rank_sum_partition, "part int, pos long, neg long, partial decimal(38,0)")
+    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     big = "decimal(38,0)"
     with_before = parts.withColumn("_before", F.coalesce(F.sum("neg").over(w), F.lit(0)))
     agg = with_before.agg(
@@ -166,13 +171,15 @@ ERROR_COLUMNS = (S.TX_ID, S.STEP, S.TYPE, S.AMOUNT)
 
 
 def errors(preds: DataFrame, kind: str, label: str = S.LABEL, pred="prediction",
-           extra=()) -> DataFrame:
+           extra=(), n: int | None = None) -> DataFrame:
     """Missed fraud (``kind="fn"``: label 1, predicted 0) or false alarms
-    (``"fp"``: label 0, predicted 1), every such row, ordered by ``tx_id``."""
+    (``"fp"``: label 0, predicted 1), ordered by ``tx_id``: every such row, or
+    the first ``n`` (a per-task top n, no full sort)."""
     y, p = F.col(label), _c(pred)
     cond = (y == 1) & (p == 0) if kind == "fn" else (y == 0) & (p == 1)
     cols = [c for c in ERROR_COLUMNS if c in preds.columns] + list(extra)
-    return preds.where(cond).select(*cols).orderBy(S.TX_ID)
+    out = preds.where(cond).select(*cols).orderBy(S.TX_ID)
+    return out if n is None else out.limit(n)
 
 
 def score_histogram(preds: DataFrame, bins: int = 40, label: str = S.LABEL,
@@ -255,3 +262,58 @@ def threshold_costs(preds: DataFrame, score="fraud_prob", label: str = S.LABEL,
 def best_threshold(costs: DataFrame) -> DataFrame:
     """The threshold with the lowest cost (the lowest threshold on ties)."""
     return costs.orderBy("cost", "k").limit(1)
+
+
+def exact_best_threshold(preds: DataFrame, score="fraud_prob", label: str = S.LABEL,
+                         cost_fn: float = 10.0, cost_fp: float = 1.0,
+                         partitions: int | None = None) -> DataFrame:
+    """The decision threshold of lowest cost among all distinct scores (a row
+    is flagged when ``score >= threshold``), or a NULL threshold where flagging
+    nothing is cheaper; the lowest threshold on ties.  One row: threshold, fn,
+    fp, cost; no row for an empty input.  NULL and NaN scores are left out.
+
+    Scores are aggregated to one row per distinct score and range-partitioned.
+    What lies in lower partitions adds the same amount to the cost of every
+    threshold of a partition, so each partition emits its own best threshold,
+    and a window over these (one row per partition) adds the rest.
+    """
+    def _best_of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        best, pos_total, neg_total = None, 0, 0
+        for b in batches:
+            if b.empty:
+                continue
+            pos, neg = b["pos"].to_numpy(dtype="int64"), b["neg"].to_numpy(dtype="int64")
+            fn = pos.cumsum() - pos + pos_total
+            spared = neg.cumsum() - neg + neg_total
+            cost = cost_fn * fn - cost_fp * spared
+            i = int(cost.argmin())
+            if best is None or cost[i] < best[0]:
+                best = (float(cost[i]), float(b["score"].iloc[i]), int(fn[i]), int(spared[i]))
+            pos_total += int(pos.sum())
+            neg_total += int(neg.sum())
+        if best:
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "threshold": [best[1]],
+                                "fn": [best[2]], "spared": [best[3]], "pos": [pos_total], "neg": [neg_total]})
+
+    s, y = _c(score).cast("double"), F.col(label)
+    d = (preds.where(s.isNotNull() & ~F.isnan(s) & y.isNotNull()).groupBy(s.alias("score"))
+              .agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg")))
+    ranged = d.repartitionByRange(partitions, "score") if partitions else d.repartitionByRange("score")
+    parts = ranged.sortWithinPartitions("score").mapInPandas(
+        _best_of_partition, "part int, threshold double, fn long, spared long, pos long, neg long")
+    lower = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    before = lambda c: F.coalesce(F.sum(c).over(lower), F.lit(0))
+    found = parts.select("threshold", (F.col("fn") + before("pos")).alias("fn"),
+                         (F.sum("neg").over(every) - F.col("spared") - before("neg")).alias("fp"),
+                         F.sum("pos").over(every).alias("_p"))
+    none = F.struct(F.lit(None).cast("double").alias("threshold"), F.col("_p").alias("fn"),
+                    F.lit(0).cast("long").alias("fp"))
+    own = F.struct("threshold", F.col("fn").cast("long").alias("fn"), F.col("fp").cast("long").alias("fp"))
+    # each row also offers the threshold above all scores; all of these offers are alike
+    cost = (F.lit(cost_fn) * F.col("fn") + F.lit(cost_fp) * F.col("fp")).alias("cost")
+    return (found.select(F.explode(F.array(own, none)).alias("x")).select("x.*")
+                 .select("threshold", "fn", "fp", cost)
+                 .orderBy("cost", F.asc_nulls_last("threshold")).limit(1))

@@ -79,22 +79,33 @@ def build_pipeline(features=FULL_FEATURES, label: str = S.LABEL, weight: str | N
     return Pipeline(stages=[type_indexer(), assembler, estimator])
 
 
-def prepare_train(train: DataFrame, label: str = S.LABEL) -> DataFrame:
-    """Doubles at the ML boundary plus the class weight, written once as a
-    table in the session's checkpoint directory (``spark.checkpoint.dir``; a
-    shared folder on a cluster).  The tree learner makes many passes over
-    it; the written copy cuts the lineage so a lost executor re-reads files
-    instead of recomputing the window and join that produced the rows."""
+#: Partitions of the train table.  The learner samples rows per partition for
+#: its split points, so a model depends on the layout: it is fixed by this
+#: number and the row ids, never by the cluster.  Raise it for large tables.
+TRAIN_PARTITIONS = 32
+
+
+def prepare_train(train: DataFrame, label: str = S.LABEL, key: str = S.TX_ID,
+                  partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Doubles at the ML boundary, written once as a table in the session's
+    checkpoint directory (``spark.checkpoint.dir``; a shared folder on a
+    cluster), plus the class weight taken from the written table.
+
+    The tree learner makes many passes over it; the written copy cuts the
+    lineage so a lost executor re-reads files instead of recomputing the
+    window and join that produced the rows.  Rows are dealt by a hash of
+    ``key`` and sorted within partitions, so the same rows give the same
+    layout, and thereby the same model, on any number of cores."""
     from txrisk.session import materialize
 
-    weighted = materialize(with_class_weight(model_inputs(train), label), "train")
-    # The learner makes a few hundred passes over this table; give every core
-    # a slice of it.  A large table already has more file splits than cores.
-    cores = weighted.sparkSession.sparkContext.defaultParallelism
-    if weighted.rdd.getNumPartitions() < cores:
-        weighted = weighted.repartition(cores)
-    if weighted.where(F.col(label) == 1).isEmpty():
+    rows = materialize(model_inputs(train), "train")
+    if rows.where(F.col(label) == 1).isEmpty():
         raise ValueError("train split has no positive rows; the class weight is undefined")
+    order = [c for c in (key, *sorted(rows.columns)) if c in rows.columns]
+    by = [key] if key in rows.columns else sorted(rows.columns)
+    weighted = (with_class_weight(rows, label)
+                .repartition(partitions, *by).sortWithinPartitions(*dict.fromkeys(order)))
+    weighted._txrisk_path = rows._txrisk_path
     return weighted
 
 

@@ -21,7 +21,7 @@ def _distinct(col: str, count_null: bool, approx: bool):
     if not count_null:
         return base
     # DataFrame.distinct().count() counts a NULL key as one more value.
-    return base + F.max(F.col(col).isNull().cast("int"))
+    return base + F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0))
 
 
 def overview(tx: DataFrame, count_null: bool = True, approx: bool = False) -> DataFrame:
@@ -63,7 +63,8 @@ def rule_recall(tx: DataFrame, label: str = S.LABEL, rule: str = S.RULE) -> Data
 
 
 def kpis(view: DataFrame) -> DataFrame:
-    """KPI row of a slice: rows, fraud, fraud % (3 dp), distinct accounts."""
+    """KPI row of a slice: rows, fraud, fraud % (3 dp), distinct accounts.
+    A slice without labelled rows has a fraud rate of 0."""
     return view.agg(
         F.count(F.lit(1)).alias("transactions"),
         F.coalesce(F.sum(S.LABEL), F.lit(0)).cast("long").alias("fraud_cases"),
@@ -71,7 +72,8 @@ def kpis(view: DataFrame) -> DataFrame:
         F.count_distinct(F.col(S.ORIG)).alias("origins"),
         F.count_distinct(F.col(S.DEST)).alias("destinations"),
     ).select("transactions", "fraud_cases",
-             half_up_ratio(F.col("fraud_cases") * 100, "_n", 3).alias("fraud_rate_pct"),
+             F.coalesce(half_up_ratio(F.col("fraud_cases") * 100, "_n", 3), F.lit(0.0))
+              .alias("fraud_rate_pct"),
              "origins", "destinations")
 
 

@@ -47,20 +47,54 @@ def _enriched(spark, d):
     return stages.enriched_from_dir(spark, d)
 
 
-def _split(spark, d):
-    """Train and test parts of the risky rows.  Queries that use no
-    enrichment column read these directly: the enrichment keeps every risky
-    row exactly once, so the rows are the same, without the window and join."""
-    return FL.train_test(_risky(spark, d))
+def _train_split(spark, d):
+    """Train and test parts of the risky rows; the step range reaches the
+    scan.  Queries that use no enrichment column read these directly: the
+    enrichment keeps every risky row exactly once, so the rows are the same,
+    without the window and join."""
+    return FL.train_test(load_transactions(spark, d, types=S.RISKY_TYPES, step_hi=S.SPLIT_STEP))[0]
 
 
 def _test_split(spark, d):
-    return _split(spark, d)[1]
+    return FL.train_test(load_transactions(spark, d, types=S.RISKY_TYPES,
+                                           step_lo=S.SPLIT_STEP + 1))[1]
 
 
-def _run(spark, d, features=ML.FULL_FEATURES):
-    return stages.model_run(spark, _enriched(spark, d), cache_key=("events", d),
-                            features=features)
+_SHARED: dict = {}
+
+
+def _stamp(spark, d):
+    """The files behind ``events``: their paths, sizes and modification times."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/events.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return (spark.sparkContext.applicationId, *sorted(out))
+
+
+def _shared(spark, d):
+    """What the model queries of one catalog share: fits of the very files that
+    ``d`` holds now.  Files that change, or another folder, start it anew."""
+    key = _stamp(spark, d)
+    if key not in _SHARED:
+        for old in _SHARED.values():
+            if "run" in old:
+                old["run"].close()
+        _SHARED.clear()
+        _SHARED[key] = {}
+    return _SHARED[key]
+
+
+def _run(spark, d):
+    shared = _shared(spark, d)
+    if "run" not in shared:
+        train = stages.enriched_from_dir(spark, d, step_hi=S.SPLIT_STEP)
+        test = stages.enriched_from_dir(spark, d, step_lo=S.SPLIT_STEP + 1)
+        shared["run"] = stages.model_run(spark, train, test=test)
+    return shared["run"]
 
 
 # -------------------------------------------------------------- profile
@@ -106,7 +140,7 @@ def q_top_customers(spark, d):
 
 
 def q_customer_profile(spark, d):
-    return A.customer_profile(_report(A.customer_features(_risky(spark, d))))
+    return A.customer_profile(A.customer_features(_risky(spark, d)))
 
 
 def q_dest_frequency(spark, d):
@@ -159,8 +193,10 @@ def q_velocity_windows(spark, d):
 
 # -------------------------------------------------------------- slices / dashboard
 def _slice(spark, d, types=None, **kw):
-    """A dashboard slice; its type set is also applied at the scan."""
-    return FL.slice_tx(load_transactions(spark, d, types=types), types=types, **kw)
+    """A dashboard slice; its type set and step range are also applied at the
+    scan."""
+    steps = {k: kw.get(k) for k in ("step_lo", "step_hi")}
+    return FL.slice_tx(load_transactions(spark, d, types=types, **steps), types=types, **kw)
 
 
 def q_slice_view(spark, d):
@@ -212,12 +248,12 @@ def q_stratified_sample(spark, d):
 
 # -------------------------------------------------------------- model inputs
 def q_class_weight(spark, d):
-    train = _split(spark, d)[0]
+    train = _train_split(spark, d)
     return ML.with_class_weight(train).select(S.TX_ID, S.LABEL, ML.WEIGHT)
 
 
 def q_type_index(spark, d):
-    train = _split(spark, d)[0]
+    train = _train_split(spark, d)
     return ML.type_index(ML.type_indexer().fit(train), train)
 
 
@@ -250,6 +286,11 @@ def q_rule_false_positives(spark, d):
     return _report(M.errors(_test_split(spark, d), "fp", pred=S.RULE))
 
 
+def q_rule_false_negatives_top(spark, d):
+    """The first ten missed fraud rows."""
+    return _report(M.errors(_test_split(spark, d), "fn", pred=S.RULE, n=10))
+
+
 def _amount_score():
     """A deterministic score in [0, 1) rising with the amount (a stand-in for
     a model score where an exact oracle is wanted)."""
@@ -269,6 +310,44 @@ def q_best_threshold_amount(spark, d):
     return M.best_threshold(M.threshold_costs(_test_split(spark, d), score=_amount_score()))
 
 
+def q_best_threshold_exact_amount(spark, d):
+    """The best of all distinct scores, not of a grid."""
+    return M.exact_best_threshold(_test_split(spark, d), score=_amount_score())
+
+
+# ------------------------------------- the model reports on a deterministic score
+def _amount_predictions(spark, d):
+    return (_test_split(spark, d).withColumn("fraud_prob", _amount_score())
+            .withColumn("prediction", (F.col("fraud_prob") > 0.5).cast("double")))
+
+
+def q_score_histogram_amount(spark, d):
+    return M.score_histogram(_amount_predictions(spark, d), prob="fraud_prob")
+
+
+def q_model_vs_rule_amount(spark, d):
+    return M.compare_to_rule(_amount_predictions(spark, d))
+
+
+def q_amount_false_negatives(spark, d):
+    return _report(M.errors(_amount_predictions(spark, d), "fn", extra=("fraud_prob",)))
+
+
+def q_amount_false_positives(spark, d):
+    return _report(M.errors(_amount_predictions(spark, d), "fp", extra=("fraud_prob",)))
+
+
+def q_gbt_invariants(spark, d):
+    """What holds for any fit: one prediction for each test row, probabilities
+    in [0, 1], and the prediction is that of a probability over one half."""
+    p = F.col("fraud_prob")
+    right = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("double"))
+    return _run(spark, d).predictions.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(S.TX_ID).alias("ids"),
+        F.sum(S.LABEL).cast("long").alias("positives"),
+        F.count_if(~F.coalesce(right, F.lit(False))).alias("violations"))
+
+
 # -------------------------------------------------------------- model (rows-only checks)
 def q_gbt_predictions(spark, d):
     p = _run(spark, d).predictions
@@ -289,7 +368,12 @@ def q_model_vs_rule(spark, d):
 
 
 def q_ablation(spark, d):
-    return stages.ablation(spark, _enriched(spark, d), cache_key=("events", d))
+    shared, run = _shared(spark, d), _run(spark, d)
+    if "ablation" not in shared:
+        shared["ablation"] = stages.ablation(
+            spark, run.train, models={"full": run.model}, predictions={"full": run.predictions},
+            test=run.test)
+    return shared["ablation"]
 
 
 def q_ablation_long(spark, d):
@@ -298,7 +382,9 @@ def q_ablation_long(spark, d):
 
 
 def q_estimator_comparison(spark, d):
-    return stages.compare_estimators(spark, _enriched(spark, d), cache_key=("events", d))
+    run = _run(spark, d)
+    return stages.compare_estimators(spark, run.train, models={"gbt": run.model},
+                                     predictions={"gbt": run.predictions}, test=run.test)
 
 
 def q_score_histogram(spark, d):

