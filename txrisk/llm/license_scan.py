@@ -3,8 +3,8 @@
 Every text's rolling word 3-gram hashes are joined to the positions of these
 hashes in a fixed table of license templates.  A hit votes for its diagonal
 (position in the text minus position in the template).  Diagonals at most
-``DRIFT`` apart whose hits lie near each other merge, which bridges words
-inserted or left out, and a merged span is verified by the share of the
+``DRIFT`` apart whose hits lie near each other merge (not for short templates), which
+bridges words inserted or left out, and a merged span is verified by the share of the
 template's words that it covers.
 
 Phrases of the base rule must be covered whole, on one diagonal.  The templates
@@ -24,7 +24,7 @@ K = 3
 DRIFT = 3
 #: Words of a template between two hits of one span, at most.
 REACH = 24
-#: Of every so many words of a statement, so many may be missing; a short one must be whole.
+#: Of every so many words of a statement, so many may be missing; a shorter one must be whole, on one diagonal.
 PER_WORDS, MAY_MISS = 12, 2
 
 # Phrases of the base rule and their labels.
@@ -52,7 +52,7 @@ STATEMENTS = [
 ]
 # The bytes that part words are ASCII without letters and digits.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -102,7 +102,8 @@ def spans(docs: DataFrame) -> DataFrame:
     by_place = Window.partitionBy(*group).orderBy("lo", "diagonal")
     earlier = by_place.rowsBetween(Window.unboundedPreceding, -1)
     near = ((F.col("lo") - F.max("hi").over(earlier) <= REACH)
-            & (F.abs(F.col("diagonal") - F.lag("diagonal").over(by_place)) <= DRIFT) & ~F.col("base"))
+            & (F.abs(F.col("diagonal") - F.lag("diagonal").over(by_place)) <= DRIFT)
+            & (F.col("n_template") >= PER_WORDS))
     merged = (votes.withColumn("span", F.sum(F.when(near, 0).otherwise(1)).over(by_place))
               .groupBy(*group, "span")
               .agg(F.min("lo").alias("first_word"), (F.max("hi") + K - 1).alias("last_word"),
@@ -125,7 +126,7 @@ def license_digest(docs: DataFrame) -> DataFrame:
                   F.max(base(F.col("first_word"))).cast("long").alias("last_word"),
                   joined(base(F.col("label"))).alias("base_labels"), joined(F.col("label")).alias("labels"),
                   F.max("score").alias("score")))
-    n = F.coalesce(F.regexp_count(F.translate("text", UPPER, LOWER), F.lit(WORD)), F.lit(0)).cast("long")
+    n = F.coalesce(F.regexp_count("text", F.lit(ANY_CASE)), F.lit(0)).cast("long")
     every = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), n.alias("n_words"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     return every.join(found, on, "left").select(
