@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import bm25, chat, license_scan, line_dedup, mixing, ngram_join, packing, quality, secret_scan, toxicity
+from txrisk.llm import bm25, chat, license_scan, line_dedup, mixing, ngram_join, oracle, packing, quality, secret_scan, toxicity
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,4 +33,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
