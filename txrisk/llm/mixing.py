@@ -102,7 +102,9 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     had = slots.groupBy("src").agg(F.count("*").alias("had"))
     late = (quota.join(had, "src", "left").fillna(0, ["had"]).where("had < quota")
             .select("src", F.explode(F.sequence("had", F.col("quota") - 1)).alias("rank"))
-            .select((F.lit(n_slots) + F.col("rank")).alias("slot"), "src", "rank"))
+            # a few slots a source, as the sequence is even
+            .select((F.row_number().over(Window.orderBy("rank", "src")) + (n_slots - 1)).cast("long").alias("slot"),
+                    "src", "rank"))
     return ranked.unionByName(late)
 
 
