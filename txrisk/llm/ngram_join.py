@@ -274,7 +274,7 @@ def _met_before(x: Column, y: Column) -> Column:
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, key, n) of all documents; (key, root) of linked classes; links."""
     docs = docs.select("doc_id", "text")
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = written(keyed(docs), "keyed")
     credit = screen(docs, buckets)
     # a partner has need(n) shingles at least, and shares as many as its own stretch asks for
