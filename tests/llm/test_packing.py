@@ -8,20 +8,24 @@ from texts import invented
 from txrisk.llm import packing
 
 
+JSON = packing.default_tokenizer().replace(".tiktoken", ".json")
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(packing.default_tokenizer())
+    t = Tokenizer.from_file(JSON)
     t.encode_special_tokens = True
     return t
 
 
-def test_ids_equal_the_tokenizer(tokenizer):
+@pytest.mark.parametrize("path", [packing.default_tokenizer(), JSON])
+def test_ids_equal_the_tokenizer(tokenizer, path):
     rng = random.Random(1)
     bits = ["a", "the", "Öl", "漢字", "😀", " ", "  ", "\n", "\n\n", "\t", " \n", "'s", "123", "...", " ", " ", "<|endoftext|>", "\r"]
     texts = ["", " ", *["".join(rng.choice(bits) for _ in range(rng.randrange(25))) for _ in range(3000)],
              *[invented(rng, 300, 50) for _ in range(20)]]
-    ids = packing.Ids(packing.default_tokenizer())
+    ids = packing.Ids(path)
     for at in range(0, len(texts), 100):
         some = texts[at:at + 100]
         want = [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
