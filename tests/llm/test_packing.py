@@ -32,6 +32,21 @@ def test_ids_equal_the_tokenizer(tokenizer, path):
         assert [x.tolist() for x in ids.of(some)] == want
 
 
+@pytest.mark.parametrize("path", [packing.default_tokenizer(), JSON])
+def test_special_strings_have_their_ids(spark, path):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(JSON)  # as it is, no flag set
+    rng = random.Random(2)
+    bits = ["a", " the", "Öl", " ", "  ", "\n", "<|endoftext|>", "<|endoftext|", "|>", " <|endoftext|> ", "<|"]
+    texts = ["a <|endoftext|> b", *["".join(rng.choice(bits) for _ in range(rng.randrange(25))) for _ in range(300)]]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    assert [x.tolist() for x in packing.Ids(path, packing.special_strings(path)).of(texts)] == want
+    got = packing.pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect()
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in got} == {
+        i: (len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes())) for i, ids in enumerate(want)}
+
+
 def test_cut_points():
     assert packing.cut_points(5, 4) == [(0, 1), (1, 5)]
     assert packing.cut_points(8, 4) == [(0, 4), (4, 8)]

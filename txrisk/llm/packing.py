@@ -19,11 +19,14 @@ one join by (length, range of ranks) that gives each piece its place.
 
 Defined results: null and empty texts are one piece, the end id; repeated rows
 are packed each; a null id is an id; an empty table gives no rows; other
-columns are not read.  A text is tokenized whole, in the memory of one task.
+columns are not read; the strings of special tokens in a text become their ids.
+A text is tokenized whole, in the memory of one task.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -54,9 +57,22 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def _json(path: str) -> str:
+    """The file of the tokenizers library with the vocabulary of ``path``."""
+    return path.removesuffix(".tiktoken") + ".json" if path.endswith(".tiktoken") else path
+
+
+def special_strings(path: str) -> list[str]:
+    """Strings that have an id of their own wherever a text holds them."""
+    if not os.path.exists(_json(path)):  # ranks alone have none
+        return []
+    with open(_json(path), encoding="utf-8") as f:
+        return [t["content"] for t in json.load(f).get("added_tokens") or []]
+
+
 def _encoder(path: str):  # noqa: ANN202
     """words -> lists of ids, by a file of ranks or of the tokenizers library;
-    strings of special tokens in a text are ordinary text."""
+    strings of special tokens are ordinary text here (see ``Ids``)."""
     if path.endswith(".tiktoken"):
         import base64
 
@@ -77,13 +93,22 @@ class Ids:
 
     A byte-level vocabulary never joins a letter with the space after it, so a
     text whose spaces stand alone is cut before each of them, and a word's ids
-    are looked up once for all its occurrences.
+    are looked up once for all its occurrences.  A text that holds one of the
+    ``special`` strings goes through the tokenizers library as it is.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: list[str] | None = None):
         self.encode = _encoder(path)
+        self.path, self.whole = path, None
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.clear()
 
+    def _with_special(self, text: str) -> np.ndarray:
+        if self.whole is None:
+            from tokenizers import Tokenizer
+            self.whole = Tokenizer.from_file(_json(self.path))
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.size = np.zeros(1 << 16, np.int64)
@@ -107,6 +132,13 @@ class Ids:
         self.place.update(zip(words, range(at, at + len(got)), strict=True))
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
+        own = {i: self._with_special(t) for i, t in enumerate(texts) if self.special.search(t)} if self.special else {}
+        if not own:
+            return self._of_words(texts)
+        rest = iter(self._of_words([t for i, t in enumerate(texts) if i not in own]))
+        return [own[i] if i in own else next(rest) for i in range(len(texts))]
+
+    def _of_words(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > CACHE_WORDS:
             self.clear()
         cut = []
@@ -140,9 +172,10 @@ def cut_points(n: int, seq_len: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str | None = None, seq_len: int = SEQ_LEN) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     path = tokenizer or default_tokenizer()
+    special = special_strings(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(path)
+        ids = Ids(path, special)
         for batch in batches:
             texts = batch.column(1).fill_null("").to_pylist()
             rows = []
