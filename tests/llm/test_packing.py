@@ -88,6 +88,13 @@ def test_supersteps_pack_as_best_fit_does(seed):
     assert len(at) <= best_fit(lengths, size) + max(1, len(lengths) // 200)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_plan_has_the_rows_that_are_stated(seed):
+    rng = random.Random(seed)
+    counts = {n: rng.randrange(1, 10 ** rng.randrange(1, 8)) for n in rng.sample(range(1, 1025), rng.choice([30, 400, 1024]))}
+    assert len(packing.supersteps(counts, 1024)) <= 32 * len(counts)
+
+
 def test_packed_documents(spark, tokenizer):
     rng = random.Random(3)
     rows = [(i, invented(rng, rng.choice([0, 1, 7, 60, 400, 1500]))) for i in range(80)] + [(80, None)]

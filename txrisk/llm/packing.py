@@ -5,15 +5,18 @@ into pieces of full length, the first piece taking the rest.  Pieces are packed
 into sequences by best fit, the longest first: a piece goes to the smallest gap
 that holds it.
 
-Bulk-synchronous form.  Pieces range-sort by (length, rank within the length),
-sequences by (gap, rank within the gap).  In a superstep the pieces of the
-longest length left sweep over their successor gaps: the r-th piece of the
+Best fit by counts, in place of distributed sweeps over range-sorted pieces and
+gaps.  Pieces have a rank within their length, sequences one within their gap.
+In a superstep the pieces of the longest length left take their successor gaps: the r-th piece of the
 class gets the place of rank r among the gaps of the smallest class that holds
 it (so no two pieces want one place), those gaps shrink to their new class, and
 the step repeats until the pieces are placed.  As pieces of one length and gaps
 of one size are alike, a superstep is a matter of counts: its state are two
 histograms of at most ``seq_len`` classes, which bound what the driver sees
-whatever the input.  Spark does the rows: tokens, pieces, the histogram, the
+whatever the input, and the supersteps run there.  Their plan is broadcast: a gap
+that a length uses is more than halved, and a length leaves at most three new
+kinds of gaps, so the plan has at most 32 rows a length for sequences of 1024.
+Spark does the rows: tokens, pieces, the histogram, the
 rank of each piece (by hash buckets, so that no task sees a whole class), and
 one join by (length, range of ranks) that gives each piece its place.
 
