@@ -37,3 +37,15 @@ def test_added_labels(spark):
     got = {r.doc_id: (r.labels, r.base_labels) for r in license_scan.license_digest(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: ("bsd-3", ""), 2: ("bsd-3", ""), 3: ("", ""), 4: ("gpl-3", ""), 5: ("lgpl-3", ""), 6: ("", "")}
+
+
+def test_short_statements_with_words_put_in(spark):
+    rows = [(1, "licensed under the terms of the GNU General Public License version 3"),
+            (2, "Licensed under the terms of the GNU Lesser General Public License, version 3."),
+            (3, "licensed under the GNU Affero General Public License (AGPL) version 3"),
+            (4, "Copyright, all rights are hereby reserved"), (5, "under the terms of the mit license"),
+            (6, "licensed under the terms of the GNU General Public License")]
+    got = {r.doc_id: (r.labels, r.base_labels) for r in license_scan.license_digest(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # 3: "license version 3" is parted and one word of it has no run of three left; 4: neither has "reserved"
+    assert got == {1: ("gpl-3", ""), 2: ("lgpl-3", ""), 3: ("", ""), 4: ("", ""), 5: ("", ""), 6: ("", "")}

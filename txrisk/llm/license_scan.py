@@ -3,9 +3,10 @@
 Every text's rolling word 3-gram hashes are joined to the positions of these
 hashes in a fixed table of license templates.  A hit votes for its diagonal
 (position in the text minus position in the template).  Diagonals at most
-``DRIFT`` apart whose hits lie near each other merge (not for short templates), which
-bridges words inserted or left out, and a merged span is verified by the share of the
-template's words that it covers.
+``DRIFT`` apart whose hits lie near each other merge, which bridges words
+inserted or left out, and a merged span is verified by the share of the
+template's words that it covers.  Where merged short statements begin or end at one
+word, the longest holds, besides those that are whole on one diagonal.
 
 Phrases of the base rule must be covered whole, on one diagonal.  The templates
 are the only broadcast table: fixed text, a few hundred positions.
@@ -24,7 +25,7 @@ K = 3
 DRIFT = 3
 #: Words of a template between two hits of one span, at most.
 REACH = 24
-#: Of every so many words of a statement, so many may be missing; a shorter one must be whole, on one diagonal.
+#: Of every so many words of a statement, so many may be missing; a shorter one must have all of its words.
 PER_WORDS, MAY_MISS = 12, 2
 
 # Phrases of the base rule and their labels.
@@ -103,17 +104,24 @@ def spans(docs: DataFrame) -> DataFrame:
     earlier = by_place.rowsBetween(Window.unboundedPreceding, -1)
     near = ((F.col("lo") - F.max("hi").over(earlier) <= REACH)
             & (F.abs(F.col("diagonal") - F.lag("diagonal").over(by_place)) <= DRIFT)
-            & (F.col("n_template") >= PER_WORDS))
+            & ~F.col("base"))
     merged = (votes.withColumn("span", F.sum(F.when(near, 0).otherwise(1)).over(by_place))
               .groupBy(*group, "span")
               .agg(F.min("lo").alias("first_word"), (F.max("hi") + K - 1).alias("last_word"),
+                   F.max(F.size("ats") == F.col("n_template") - K + 1).alias("whole"),
                    F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats")))
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         "ats", lambda a: F.sequence(a, a + K - 1)))))
-    return (merged.withColumn("score", covered / F.col("n_template"))
-            .where(covered >= F.col("n_template") - F.when(F.col("base"), 0).otherwise(
-                F.expr(f"n_template div {PER_WORDS}") * MAY_MISS))
-            .drop("span", "ats", "n_template"))
+    found = (merged.withColumn("score", covered / F.col("n_template"))
+             .where(covered >= F.col("n_template") - F.when(F.col("base"), 0).otherwise(
+                 F.expr(f"n_template div {PER_WORDS}") * MAY_MISS)))
+    # a word put into one short statement may make another of it (gnu lesser general): the longer one holds there
+    short = ~F.col("base") & (F.col("n_template") < PER_WORDS)
+    longest = lambda place: F.max(F.when(short, F.col("n_template"))).over(
+        Window.partitionBy("doc_id", "text_hash", place))
+    found = found.withColumns({"longest_there": F.greatest(longest("first_word"), longest("last_word"))})
+    return (found.where(~short | F.col("whole") | (F.col("n_template") >= F.col("longest_there")))
+            .drop("span", "ats", "n_template", "whole", "longest_there"))
 
 
 def license_digest(docs: DataFrame) -> DataFrame:
