@@ -50,3 +50,11 @@ def test_grammar():
     assert g.score("not so good today. an idiot") == plain  # a negation ends with its clause
     assert g.score("kill") == 0 and g.score("I kill you") == toxicity.THREAT
     assert g.score("") == 0
+
+
+def test_rare_stems_are_ranked_by_their_odds(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEMS", 2)
+    common = " ".join(f"c{i}x" for i in range(100))  # in all documents, more than any first cut by frequency would hold
+    rows = [(f"{common} {'zq' if i < 12 else ''}", 1) for i in range(60)] + [(common, 0)] * 200
+    got = toxicity.learn_stems(spark.createDataFrame(rows, "text string, toxic int"))
+    assert {s.strip() for s in got} >= {"zq"} and len(got) <= 2

@@ -143,37 +143,27 @@ def learn_stems(train: DataFrame) -> dict[str, float]:
     """Log odds of the stems that toxic documents have far more often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
-                words = set(_WORD.findall((text.as_py() or "").lower()))
-                count[toxic].update({s for w in words for s in stems(w)})
-            keys = list(count[1])  # a stem that no toxic document has is of no use ...
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array([count[1][k] for k in keys], pa.int64())], names=["stem", "n"])
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # ... and of the others only those found above
             count: Counter = Counter()
             for text in batch.column("text"):
                 words = set(_WORD.findall((text.as_py() or "").lower()))
-                count.update({s for w in words for s in stems(w)} & common)
+                count.update({s for w in words for s in stems(w)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["stem", "n"])
 
     n = {r[0]: r[1] for r in train.groupBy("toxic").count().collect()}
     if not n.get(0) or not n.get(1):
         return {}
-    total = lambda df, fn: df.mapInArrow(fn, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+    total = lambda toxic, name: (train.where(F.col("toxic") == toxic).mapInArrow(run, "stem string, n long")
+                                 .groupBy("stem").agg(F.sum("n").alias(name)))
     least = max(LEAST_DOCS, math.ceil(LEAST_SHARE * n[1]))
-    found = (total(train.where("toxic = 1"), run).where(F.col("n") >= least)
-             .orderBy(F.desc("n"), "stem").limit(20 * STEMS).collect())
-    common = {r["stem"] for r in found}
-    clean = {r["stem"]: r["n"] for r in total(train.where("toxic = 0"), again).collect()}
-    odds = {r["stem"]: math.log((r["n"] + 0.5) / (n[1] + 1)) - math.log((clean.get(r["stem"], 0) + 0.5) / (n[0] + 1))
-            for r in found}
-    spread = {r["stem"]: math.sqrt(1 / (r["n"] + 0.5) + 1 / (clean.get(r["stem"], 0) + 0.5)) for r in found}
-    best = sorted((s for s in odds if odds[s] - 1.64 * spread[s] >= LEAST_ODDS), key=lambda s: (-odds[s], s))[:STEMS]
-    return {s: odds[s] for s in best}
+    # every stem that enough toxic documents have; a stem that none has is of no use
+    found = (total(1, "n").where(F.col("n") >= least).join(total(0, "clean"), "stem", "left")
+             .select("stem", "n", F.coalesce("clean", F.lit(0)).alias("clean")))
+    odds = F.log((F.col("n") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
+    spread = F.sqrt(1 / (F.col("n") + 0.5) + 1 / (F.col("clean") + 0.5))
+    best = (found.withColumn("odds", odds).where(F.col("odds") - 1.64 * spread >= LEAST_ODDS)
+            .orderBy(F.desc("odds"), "stem").limit(STEMS))
+    return {r["stem"]: r["odds"] for r in best.collect()}
 
 
 def fit_curve(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
