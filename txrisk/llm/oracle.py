@@ -83,6 +83,48 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON m.a = d.doc_id"""
 
+OP11 = r"""WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+s AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, sum(n)::HUGEINT AS n, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+z AS (SELECT s.lang, s.source, coalesce(l.v, 0)::HUGEINT AS v, coalesce(l.n, 0) AS ln,
+             coalesce((SELECT sum(c.n) FROM c WHERE c.lang = s.lang AND c.source = s.source), 0)::HUGEINT AS n FROM s LEFT JOIN l USING (lang)),
+p AS (SELECT lang, source, term, coalesce(c.n, 0) AS m, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (z.n + z.v) AS p,
+             1 + (1000000000::HUGEINT * (k.n + 1)) // (z.ln + z.v) AS q
+      FROM z JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE m > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200"""
+
+OP12 = r"""WITH c AS (SELECT conv_id::BIGINT AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv, list({'r': role, 't': text} ORDER BY pos) AS own FROM c GROUP BY conv),
+k AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+          lambda u, z: xor(u >> 1, CASE WHEN u & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT) % 6 AS h FROM o),
+b AS (SELECT k.conv, list_concat(coalesce(list_slice(a.own, 1, k.h), []), list_slice(k.own, k.h + 1, len(k.own))) AS seq
+      FROM k LEFT JOIN k a ON a.conv = k.conv - k.conv % 100),
+p AS (SELECT conv, seq, len(seq) AS l, unnest(range(0, len(seq) + 1)) AS d FROM b),
+q AS (SELECT conv, l, d, list_slice(seq, 1, d) AS pre FROM p),
+n AS (SELECT pre, d, min(conv) AS conv, count(*) AS n, count(*) FILTER (WHERE l = d) AS ends,
+        sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (WHERE l = d), '')) AS sha FROM q GROUP BY pre, d),
+v AS (SELECT n.*, (n.n - 1) * CASE WHEN d = 0 THEN 0 ELSE length(pre[d].t) END AS saves, ends = n AS leaf FROM n),
+u AS (SELECT list_slice(pre, 1, e) AS pre, count(*) FILTER (WHERE d = e + 1) AS children, count(*) FILTER (WHERE leaf) AS leaves, sum(saves) AS saved
+      FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM v) GROUP BY 1)
+SELECT v.conv AS conv_id, v.d::BIGINT AS depth, y.conv AS parent_conv_id, v.n AS n_convs, u.children AS n_children, u.leaves AS n_leaves,
+  u.saved::BIGINT AS saved_tokens, v.sha AS ends_sha256
+FROM v JOIN u ON u.pre = v.pre LEFT JOIN v y ON v.d > 0 AND y.d = v.d - 1 AND y.pre = list_slice(v.pre, 1, v.d - 1)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _op1(), "op2_source_mix": OP2, "op3_chat_format": OP3, "op4_jaccard_join": OP4}
+    return {"op1_quality_rules": _op1(), "op2_source_mix": OP2, "op3_chat_format": OP3, "op4_jaccard_join": OP4,
+            "op11_source_divergence": OP11, "op12_prefix_trie": OP12}

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import bm25, chat, license_scan, line_dedup, mixing, ngram_join, oracle, packing, quality, secret_scan, toxicity
+from txrisk.llm import (bm25, chat, divergence, license_scan, line_dedup, mixing, ngram_join, oracle, packing, prefix_trie,
+                        quality, secret_scan, toxicity, url_filter)
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,9 @@ def queries() -> dict[str, Query]:
         "op9_toxicity": lambda spark, sf_dir: toxicity.toxicity(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op10_best_fit_packing": _over("documents", packing.packed),
+        "op11_source_divergence": _over("documents", divergence.divergence),
+        "op12_prefix_trie": _over("conversations", prefix_trie.prefix_trie),
+        "op13_url_filter": _over("pages", url_filter.url_verdicts),
     }
 
 
