@@ -65,3 +65,12 @@ def test_preaggregated_equals_row_window(spark):
     bad = j.where(~F.col("c").eqNullSafe(F.col("c2")) | ~F.col("s").eqNullSafe(F.col("s2")))
     assert bad.count() == 0
     assert j.count() == risky.count()
+
+
+def test_columns_with_helper_names_are_kept(spark):
+    df = tx_frame(spark, [tx_row(1, 1), tx_row(2, 25)])
+    for c in ("_vk", "_vo", "_vk1", "_n", "_s"):
+        df = df.withColumn(c, F.lit(c))
+    out = with_velocity(df)
+    assert out.columns[:len(df.columns)] == df.columns
+    assert [(r["_vk"], r["_vo"], r["_n"], r["_s"]) for r in out.collect()] == [("_vk", "_vo", "_n", "_s")] * 2

@@ -23,6 +23,16 @@ from pyspark.sql import functions as F
 from txrisk import schema as S
 
 
+def free_name(base: str, *taken: str) -> str:
+    """``base``, or ``base`` with a number that no name in ``taken`` has."""
+    used = {c.lower() for c in taken}
+    name, i = base, 0
+    while name.lower() in used:
+        i += 1
+        name = f"{base}{i}"
+    return name
+
+
 def step_totals(df: DataFrame, key: str = S.DEST, order: str = S.STEP,
                 value: str = S.AMOUNT) -> DataFrame:
     """One row per (key, order value): row count and value sum."""
@@ -53,7 +63,8 @@ def with_velocity(df: DataFrame, key: str = S.DEST, order: str = S.STEP,
     (strictly earlier steps); the default keeps the original frame."""
     rolled = rolling_totals(df, key, order, value, lookback, count_col, sum_col,
                             exclude_current)
-    rk, ro = "_vk", "_vo"
+    rk = free_name("_vk", *df.columns, *rolled.columns)
+    ro = free_name("_vo", *df.columns, *rolled.columns)
     rolled = rolled.withColumnRenamed(key, rk).withColumnRenamed(order, ro)
     cond = [df[key].eqNullSafe(rolled[rk]), df[order].eqNullSafe(rolled[ro])]
     return df.join(rolled, cond, "inner").drop(rk, ro)
