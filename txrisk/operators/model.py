@@ -79,14 +79,14 @@ def build_pipeline(features=FULL_FEATURES, label: str = S.LABEL, weight: str | N
     return Pipeline(stages=[type_indexer(), assembler, estimator])
 
 
-#: Partitions of the train table.  The learner samples rows per partition for
-#: its split points, so a model depends on the layout: it is fixed by this
-#: number and the row ids, never by the cluster.  Raise it for large tables.
-TRAIN_PARTITIONS = 32
+#: Rows of a partition of the train table.  The learner samples rows per
+#: partition for its split points, so a model depends on the layout: that follows
+#: from the rows and this number, never from the cluster.
+TRAIN_ROWS_PER_PARTITION = 200_000
 
 
 def prepare_train(train: DataFrame, label: str = S.LABEL, key: str = S.TX_ID,
-                  partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """Doubles at the ML boundary, written once as a table in the session's
     checkpoint directory (``spark.checkpoint.dir``; a shared folder on a
     cluster), plus the class weight taken from the written table.
@@ -94,21 +94,29 @@ def prepare_train(train: DataFrame, label: str = S.LABEL, key: str = S.TX_ID,
     The tree learner makes many passes over it; the written copy cuts the
     lineage so a lost executor re-reads files instead of recomputing the
     window and join that produced the rows.  Rows are dealt by a hash of
-    ``key`` and sorted within partitions, so the same rows give the same
+    ``key`` to a partition per ``TRAIN_ROWS_PER_PARTITION`` rows (or to
+    ``partitions``) and sorted within them, so the same rows give the same
     layout, and thereby the same model, on any number of cores."""
     from txrisk.session import materialize
 
     rows = materialize(model_inputs(train), "train")
-    if rows.where(F.col(label) == 1).isEmpty():
+    n, positives = rows.agg(F.count(F.lit(1)), F.count_if(F.col(label) == 1)).first()
+    if not positives:
         raise ValueError("train split has no positive rows; the class weight is undefined")
-    order = [c for c in (key, *sorted(rows.columns)) if c in rows.columns]
-    by = [key] if key in rows.columns else sorted(rows.columns)
-    weighted = (with_class_weight(rows, label)
-                .repartition(partitions, *by).sortWithinPartitions(*dict.fromkeys(order)))
+    weighted = laid_out(with_class_weight(rows, label), key, partitions or -(-n // TRAIN_ROWS_PER_PARTITION))
     weighted._txrisk_path = rows._txrisk_path
     return weighted
 
 
+def laid_out(rows: DataFrame, key: str = S.TX_ID, partitions: int | None = None) -> DataFrame:
+    """``rows`` (of a written table) dealt by a hash of ``key`` and sorted within
+    partitions; by default a partition per ``TRAIN_ROWS_PER_PARTITION`` rows."""
+    partitions = partitions or max(1, -(-rows.count() // TRAIN_ROWS_PER_PARTITION))
+    order = [c for c in (key, *sorted(rows.columns)) if c in rows.columns]
+    by = [key] if key in rows.columns else sorted(rows.columns)
+    return rows.repartition(partitions, *by).sortWithinPartitions(*dict.fromkeys(order))
+
+
 def fit_prepared(weighted: DataFrame, features=FULL_FEATURES, label: str = S.LABEL,
                  **gbt_params) -> PipelineModel:
     """Fit the pipeline on a split prepared by :func:`prepare_train`."""

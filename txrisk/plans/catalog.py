@@ -8,6 +8,7 @@ SQL-expressible query is in :mod:`txrisk.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,16 @@ from txrisk.operators import metrics as M
 from txrisk.operators import model as ML
 from txrisk.operators import profile as P
 from txrisk.operators import balances as R
+from txrisk.operators import cube as Q
+from txrisk.operators import layout as L
+from txrisk.operators import resample as B
 from txrisk.operators import sampling as U
 from txrisk.operators.velocity import with_velocity
 from txrisk.plans import stages
+from txrisk.session import ensure_checkpoint_dir, materialize
+from txrisk.sources import files
 from txrisk.sources.events import load_transactions
+from txrisk.streaming.arrival import state_session, with_arrival_velocity
 from txrisk.streaming.velocity import EVENT_TIME, step_of_hour, velocity_windows
 
 # The example dashboard slice used by ``slice_view`` and
@@ -88,7 +95,8 @@ def _shared(spark, d):
     return _SHARED[key]
 
 
-def _run(spark, d):
+def shared_run(spark, d):
+    """The model run that the model queries share: fitted and scored here once."""
     shared = _shared(spark, d)
     if "run" not in shared:
         train = stages.enriched_from_dir(spark, d, step_hi=S.SPLIT_STEP)
@@ -342,7 +350,7 @@ def q_gbt_invariants(spark, d):
     in [0, 1], and the prediction is that of a probability over one half."""
     p = F.col("fraud_prob")
     right = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("double"))
-    return _run(spark, d).predictions.agg(
+    return shared_run(spark, d).predictions.agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct(S.TX_ID).alias("ids"),
         F.sum(S.LABEL).cast("long").alias("positives"),
         F.count_if(~F.coalesce(right, F.lit(False))).alias("violations"))
@@ -350,25 +358,25 @@ def q_gbt_invariants(spark, d):
 
 # -------------------------------------------------------------- model (rows-only checks)
 def q_gbt_predictions(spark, d):
-    p = _run(spark, d).predictions
+    p = shared_run(spark, d).predictions
     return p.select(S.TX_ID, S.STEP, S.TYPE, S.AMOUNT, S.LABEL, "prediction", "fraud_prob")
 
 
 def q_feature_importance(spark, d):
-    run = _run(spark, d)
+    run = shared_run(spark, d)
     return ML.importances(spark, run.model, run.features)
 
 
 def q_model_metrics(spark, d):
-    return stages.model_metrics(_run(spark, d))
+    return stages.model_metrics(shared_run(spark, d))
 
 
 def q_model_vs_rule(spark, d):
-    return M.compare_to_rule(_run(spark, d).predictions)
+    return M.compare_to_rule(shared_run(spark, d).predictions)
 
 
 def q_ablation(spark, d):
-    shared, run = _shared(spark, d), _run(spark, d)
+    shared, run = _shared(spark, d), shared_run(spark, d)
     if "ablation" not in shared:
         shared["ablation"] = stages.ablation(
             spark, run.train, models={"full": run.model}, predictions={"full": run.predictions},
@@ -382,21 +390,221 @@ def q_ablation_long(spark, d):
 
 
 def q_estimator_comparison(spark, d):
-    run = _run(spark, d)
-    return stages.compare_estimators(spark, run.train, models={"gbt": run.model},
-                                     predictions={"gbt": run.predictions}, test=run.test)
+    shared, run = _shared(spark, d), shared_run(spark, d)
+    if "estimators" not in shared:
+        shared["estimators"] = stages.compare_estimators(spark, run.train, models={"gbt": run.model},
+                                                         predictions={"gbt": run.predictions}, test=run.test)
+    return shared["estimators"]
 
 
 def q_score_histogram(spark, d):
-    return M.score_histogram(_run(spark, d).predictions)
+    return M.score_histogram(shared_run(spark, d).predictions)
 
 
 def q_model_false_negatives(spark, d):
-    return M.errors(_run(spark, d).predictions, "fn", extra=("fraud_prob",))
+    return M.errors(shared_run(spark, d).predictions, "fn", extra=("fraud_prob",))
 
 
 def q_model_false_positives(spark, d):
-    return M.errors(_run(spark, d).predictions, "fp", extra=("fraud_prob",))
+    return M.errors(shared_run(spark, d).predictions, "fp", extra=("fraud_prob",))
+
+
+# ------------------------------------------------------------- layouts and stored state
+def _folder(spark, name):
+    """A new folder beside the session's intermediate tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/txrisk-{name}-{uuid.uuid4().hex}"
+
+
+def q_arrival_velocity(spark, d):
+    """Velocity by the state of each destination, over the table as one micro-batch."""
+    tx = load_transactions(state_session(spark), d, types=S.RISKY_TYPES, event_time=EVENT_TIME)
+    v = with_arrival_velocity(tx, watermark=None)
+    return _report(v.select(S.TX_ID, S.DEST, S.STEP, S.VELOCITY_COUNT, S.VELOCITY_AMOUNT))
+
+
+def q_layout_velocity(spark, d):
+    """Velocity from the bucketed layout: written once, joined bucket by bucket."""
+    layout = L.write_velocity_layout(_risky(spark, d), _folder(spark, "velocity-layout"), buckets=8)
+    v = L.velocity_of_layout(spark, layout)
+    return _report(v.select(S.TX_ID, S.DEST, S.STEP, S.VELOCITY_COUNT, S.VELOCITY_AMOUNT))
+
+
+def _clustered(spark, d):
+    path = _folder(spark, "clustered")
+    L.write_clustered(_tx(spark, d), path)
+    return path
+
+
+def q_clustered_table(spark, d):
+    """The clustered table read back whole."""
+    return _report(L.read_clustered(spark, _clustered(spark, d)))
+
+
+def q_clustered_steps(spark, d):
+    """A range of steps of the clustered table."""
+    return _report(L.read_clustered(spark, _clustered(spark, d), step_lo=300, step_hi=340))
+
+
+def q_clustered_account(spark, d):
+    """The rows of one account (the first by name) in the clustered table."""
+    path = _clustered(spark, d)
+    first = _tx(spark, d).agg(F.min(S.DEST)).first()[0]
+    return _report(L.read_clustered(spark, path, account=first))
+
+
+def _by_split(spark, d):
+    risky = _risky(spark, d)
+    early = F.coalesce(F.col(S.STEP) <= S.SPLIT_STEP, F.lit(True))
+    return risky.where(early), risky.where(~early)
+
+
+def q_customer_features_merged(spark, d):
+    """Account features of a stored state that a second batch was merged into."""
+    path = _folder(spark, "account-state")
+    for version, rows in enumerate(_by_split(spark, d)):
+        state = A.update_state(path, A.account_state(rows), version)
+    return _report(A.features_of_state(state))
+
+
+def q_dest_frequency_merged(spark, d):
+    path = _folder(spark, "dest-state")
+    for version, rows in enumerate(_by_split(spark, d)):
+        state = A.update_state(path, A.dest_frequency(rows), version, A.merge_dest_frequency)
+    return _report(state)
+
+
+# ------------------------------------------------------------- cube
+def _cube(spark, d):
+    return materialize(Q.slice_cube(_tx(spark, d)), "cube")
+
+
+def q_cube_slices(spark, d):
+    """Every three-day window of every type, from running sums."""
+    cube = _cube(spark, d)
+    windows = (cube.where("step IS NOT NULL AND type IS NOT NULL").select("type", F.floor(F.col("step") / 24).alias("day")).distinct()
+               .select("type", (F.col("day") * 24).cast("int").alias("step_lo"), (F.col("day") * 24 + 71).cast("int").alias("step_hi")))
+    return Q.cube_slices(cube, windows)
+
+
+def q_cube_kpis(spark, d):
+    """KPIs of the example slice, without a scan of its rows."""
+    s = {k: v for k, v in EXAMPLE_SLICE.items() if k != "fraud_only"}
+    return Q.cube_kpis(_cube(spark, d), **s)
+
+
+def q_cube_activity(spark, d):
+    return Q.cube_activity(_cube(spark, d))
+
+
+def q_sketch_bounds(spark, d):
+    """Exact distinct counts per type, and whether the united sketches of its steps
+    are within their stated error."""
+    tx = _tx(spark, d)
+    sketches = materialize(Q.distinct_sketches(tx), "sketches")
+    near = sketches.groupBy("type").agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"{c}_near") for c in ("origins", "destinations")])
+    exact = tx.groupBy(F.col(S.TYPE).alias("type")).agg(F.count_distinct(S.ORIG).alias("origins"), F.count_distinct(S.DEST).alias("destinations"))
+    within = lambda c: F.abs(F.col(f"{c}_near") - F.col(c)) <= F.greatest(F.lit(1), F.ceil(F.col(c) * F.lit(Q.SKETCH_ERROR)))
+    return exact.join(near, "type").select("type", "origins", "destinations", within("origins").cast("int").alias("origins_within"),
+                                           within("destinations").cast("int").alias("destinations_within"))
+
+
+# ------------------------------------------------------------- resampling
+def q_bootstrap_confusion_amount(spark, d):
+    return B.bootstrap_confusion(_amount_predictions(spark, d))
+
+
+def q_bootstrap_intervals_amount(spark, d):
+    return B.bootstrap_intervals(B.bootstrap_confusion(_amount_predictions(spark, d)))
+
+
+def q_permuted_amount(spark, d):
+    """The amounts of the test split dealt anew."""
+    return _report(B.permuted(_test_split(spark, d).select(S.TX_ID, S.AMOUNT), S.AMOUNT))
+
+
+def q_rolling_folds(spark, d):
+    return B.fold_counts(B.rolling_folds(_risky(spark, d)))
+
+
+def q_rolling_origin(spark, d):
+    """Rows, positives and confusion totals of a fit per fold (10 trees each)."""
+    r = B.rolling_origin(stages.enriched_from_dir(spark, d, step_hi=max(B.ORIGINS) + B.HORIZON), maxIter=10)
+    ok = F.col("auc").between(0, 1) & F.col("precision").between(0, 1) & F.col("recall").between(0, 1)
+    return r.select("fold", "train_rows", "test_rows", "positives", ok.cast("int").alias("valid"))
+
+
+# ------------------------------------------------------------- files written and read back
+def q_csv_roundtrip(spark, d):
+    """Raw CSV with a header, read with the declared schema."""
+    path = _folder(spark, "csv")
+    _tx(spark, d).drop(S.TX_ID).write.option("header", "true").csv(path)
+    return _report(files.read_csv(spark, path))
+
+
+def q_partitioned_roundtrip(spark, d):
+    path = _folder(spark, "by-type")
+    files.write_tx(_tx(spark, d), path)
+    return _report(files.read_tx(spark, path))
+
+
+def q_enriched_roundtrip(spark, d):
+    path = _folder(spark, "flat")
+    files.write_table(_enriched(spark, d), path)
+    return _report(files.read_table(spark, path))
+
+
+def q_predictions_roundtrip(spark, d):
+    """The predictions sink read back, against the predictions it was given."""
+    path, given = _folder(spark, "sink"), shared_run(spark, d).predictions
+    files.write_predictions(given, path)
+    got = files.read_table(spark, path)
+    both = got.join(given.select(S.TX_ID, F.col("prediction").alias("p"), F.col("margin").alias("m")), S.TX_ID, "full")
+    same = (F.col("prediction") == F.col("p")) & (F.col("margin") == F.col("m"))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.sum(S.LABEL).cast("long").alias("positives"),
+                    F.count_if(~F.coalesce(same, F.lit(False))).alias("differing"))
+
+
+def q_model_roundtrip(spark, d):
+    """The model saved and loaded scores the test split as it did before."""
+    path, run = _folder(spark, "model"), shared_run(spark, d)
+    files.save_model(run.model, path)
+    again = ML.score(files.load_model(path), run.test).select(S.TX_ID, F.col("fraud_prob").alias("p"))
+    both = run.predictions.select(S.TX_ID, "fraud_prob").join(again, S.TX_ID, "full")
+    same = F.coalesce(F.abs(F.col("fraud_prob") - F.col("p")) < 1e-12, F.lit(False))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differing"))
+
+
+# ------------------------------------------------------------- what holds for any fit
+def q_importance_invariants(spark, d):
+    run = shared_run(spark, d)
+    return ML.importances(spark, run.model, run.features).agg(
+        F.count(F.lit(1)).alias("features"), F.count_if(F.col("importance") < 0).alias("negative"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).cast("int").alias("sum_is_one"))
+
+
+def _valid_report(df, name):
+    p, r, f = F.col("precision"), F.col("recall"), F.col("f1")
+    f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
+    ok = F.col("auc").between(0, 1) & p.between(0, 1) & r.between(0, 1) & (F.abs(f - f1) < 1e-12)
+    return df.select(name, ok.cast("int").alias("valid"))
+
+
+def q_ablation_invariants(spark, d):
+    return _valid_report(q_ablation(spark, d), "feature_set")
+
+
+def q_ablation_long_invariants(spark, d):
+    return q_ablation_long(spark, d).groupBy("feature_set").agg(
+        F.count(F.lit(1)).alias("metrics"), F.count_if(~F.col("value").between(0, 1)).alias("outside"))
+
+
+def q_estimator_invariants(spark, d):
+    return _valid_report(q_estimator_comparison(spark, d), "estimator")
+
+
+def q_permutation_importance(spark, d):
+    run = shared_run(spark, d)
+    return B.permutation_importance(run.model, run.test, run.features)
 
 
 def queries() -> dict[str, Query]:
@@ -407,4 +615,8 @@ def queries() -> dict[str, Query]:
 # Queries checked by row count only (model outputs depend on the learner).
 ROWS_ONLY = ("gbt_predictions", "feature_importance", "model_metrics", "model_vs_rule",
              "ablation", "ablation_long", "estimator_comparison", "score_histogram", "model_false_negatives",
-             "model_false_positives")
+             "model_false_positives", "permutation_importance")
+
+# Queries that read the shared fits.
+MODEL_QUERIES = (*ROWS_ONLY, "gbt_invariants", "predictions_roundtrip", "model_roundtrip", "importance_invariants",
+                 "ablation_invariants", "ablation_long_invariants", "estimator_invariants", "rolling_origin")

@@ -9,6 +9,10 @@ the last bit.
 
 from __future__ import annotations
 
+# 2**32 times the distribution function of a Poisson count of mean 1,
+# rounded down, for counts from 0.
+POISSON_STEPS = (1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291, 4294609777, 4294923276, 4294962463, 4294966817, 4294967252, 4294967292, 4294967295)
+
 TX = """
 ev AS (
   SELECT event_id AS tx_id,
@@ -319,6 +323,65 @@ FROM (SELECT count(*) FILTER (WHERE isFraud = 1) AS positives,
   CAST(sum(isFraud) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS violations FROM test"""
     q["best_threshold_amount"] = _with(TX, ENRICHED, tc) + \
         "SELECT k, threshold, fn, fp, CAST(cost AS DOUBLE) AS cost FROM costs ORDER BY cost, k LIMIT 1"
+
+    for name in ("arrival_velocity", "layout_velocity"):
+        q[name] = q["dest_velocity"]
+    q["clustered_table"] = W_TX + f"SELECT {TX_COLS} FROM tx"
+    q["clustered_steps"] = W_TX + f"SELECT {TX_COLS} FROM tx WHERE step >= 300 AND step <= 340"
+    q["clustered_account"] = W_TX + f"SELECT {TX_COLS} FROM tx WHERE nameDest = (SELECT min(nameDest) FROM tx)"
+    q["customer_features_merged"] = q["customer_features"]
+    q["dest_frequency_merged"] = q["dest_frequency"]
+    q["cube_slices"] = W_TX + """, w AS (SELECT DISTINCT t.type, CAST(d.day * 24 AS INTEGER) AS step_lo, CAST(d.day * 24 + 71 AS INTEGER) AS step_hi
+  FROM (SELECT DISTINCT type FROM tx) t,
+       (SELECT unnest(range((SELECT min(step) // 24 FROM tx), (SELECT max(step) // 24 FROM tx) + 1)) AS day) d)
+SELECT w.type, w.step_lo, w.step_hi, count(tx.tx_id) AS rows, count(amount) AS amounts,
+  CAST(coalesce(sum(isFraud), 0) AS BIGINT) AS fraud, count(isFraud) AS labelled
+FROM w LEFT JOIN tx ON tx.type = w.type AND tx.step BETWEEN w.step_lo AND w.step_hi GROUP BY ALL"""
+    q["cube_kpis"] = _with(TX, sl) + f"""SELECT transactions, fraud_cases, coalesce({hu('fraud_cases * 100', 'n', 3)}, 0.0) AS fraud_rate_pct
+FROM (SELECT count(*) AS transactions, CAST(coalesce(sum(isFraud), 0) AS BIGINT) AS fraud_cases, count(isFraud) AS n FROM sl)"""
+    q["cube_activity"] = q["activity_by_step"]
+    q["sketch_bounds"] = W_TX + """SELECT type, count(DISTINCT nameOrig) AS origins, count(DISTINCT nameDest) AS destinations,
+  CAST(1 AS INTEGER) AS origins_within, CAST(1 AS INTEGER) AS destinations_within FROM tx GROUP BY type"""
+    drawn = " + ".join(f"CAST(u >= {at} AS INTEGER)" for at in POISSON_STEPS)
+    boot = f"""boot AS (SELECT *, {drawn} AS w FROM (
+  SELECT r AS replicate, isFraud AS y, isFlaggedFraud AS rule, CAST(p > 0.5 AS INTEGER) AS pred,
+    CAST('0x' || substr(md5('42:' || r || ':' || tx_id), 1, 8) AS BIGINT) AS u FROM am, (SELECT unnest(range(1, 51)) AS r))),
+bc AS (SELECT CAST(replicate AS INTEGER) AS replicate,
+  CAST(coalesce(sum(w) FILTER (WHERE y = 1 AND pred = 1), 0) AS BIGINT) AS tp, CAST(coalesce(sum(w) FILTER (WHERE y = 1 AND pred = 0), 0) AS BIGINT) AS fn,
+  CAST(coalesce(sum(w) FILTER (WHERE y = 0 AND pred = 1), 0) AS BIGINT) AS fp, CAST(coalesce(sum(w) FILTER (WHERE y = 0 AND pred = 0), 0) AS BIGINT) AS tn,
+  CAST(coalesce(sum(w) FILTER (WHERE y = 1 AND rule = 1), 0) AS BIGINT) AS rule_tp FROM boot WHERE w > 0 GROUP BY 1)"""
+    q["bootstrap_confusion_amount"] = _with(TX, ENRICHED, am, boot) + "SELECT * FROM bc"
+    q["bootstrap_intervals_amount"] = _with(TX, ENRICHED, am, boot) + """, v AS (
+  SELECT replicate, unnest(['precision', 'recall', 'rule_recall', 'model_vs_rule']) AS metric, unnest([
+    CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END,
+    CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END,
+    CASE WHEN tp + fn > 0 THEN CAST(rule_tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END,
+    CASE WHEN rule_tp > 0 THEN CAST(tp AS DOUBLE) / CAST(rule_tp AS DOUBLE) END]) AS value FROM bc),
+k AS (SELECT metric, value, row_number() OVER (PARTITION BY metric ORDER BY value, replicate) AS i,
+             count(*) OVER (PARTITION BY metric) AS n FROM v WHERE value IS NOT NULL)
+SELECT metric, max(value) FILTER (WHERE i = greatest(1, (n * 10 + 199) // 200)) AS low,
+  max(value) FILTER (WHERE i = greatest(1, (n * 100 + 199) // 200)) AS median,
+  max(value) FILTER (WHERE i = greatest(1, (n * 190 + 199) // 200)) AS high, max(n) AS replicates FROM k GROUP BY metric"""
+    q["permuted_amount"] = W_E + """, a AS (SELECT tx_id, row_number() OVER (ORDER BY md5('take-42:' || tx_id), tx_id) AS i FROM test),
+b AS (SELECT amount, row_number() OVER (ORDER BY md5('give-42:amount:' || tx_id), tx_id) AS i FROM test)
+SELECT tx_id, CAST(amount AS DOUBLE) AS amount FROM a JOIN b USING (i)"""
+    folds = """folds AS (SELECT risky.*, CAST(f.fold AS INTEGER) AS fold, CASE WHEN step <= f.origin THEN 'train' ELSE 'test' END AS split
+  FROM risky JOIN (VALUES (1, 300), (2, 400), (3, 500), (4, 600)) AS f(fold, origin) ON step <= f.origin + 100)"""
+    q["rolling_folds"] = _with(TX, RISKY, folds) + """SELECT fold, split, count(*) AS rows, count(*) FILTER (WHERE isFraud = 1) AS positives,
+  min(step) AS step_min, max(step) AS step_max FROM folds GROUP BY fold, split"""
+    q["rolling_origin"] = _with(TX, RISKY, folds) + """SELECT fold, count(*) FILTER (WHERE split = 'train') AS train_rows,
+  count(*) FILTER (WHERE split = 'test') AS test_rows, count(*) FILTER (WHERE split = 'test' AND isFraud = 1) AS positives,
+  CAST(1 AS INTEGER) AS valid FROM folds GROUP BY fold"""
+    q["csv_roundtrip"] = W_TX + f"SELECT {TX_COLS.replace('tx_id, ', '', 1)} FROM tx"
+    q["partitioned_roundtrip"] = q["clustered_table"]
+    q["enriched_roundtrip"] = q["enriched_transactions"]
+    q["predictions_roundtrip"] = W_E + """SELECT count(*) AS rows, CAST(sum(isFraud) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS differing FROM test"""
+    q["model_roundtrip"] = W_E + "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM test"
+    q["importance_invariants"] = "SELECT CAST(12 AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, CAST(1 AS INTEGER) AS sum_is_one"
+    q["ablation_invariants"] = """SELECT unnest(['full', 'no_balance_diffs', 'no_balance_at_all']) AS feature_set, CAST(1 AS INTEGER) AS valid"""
+    q["ablation_long_invariants"] = """SELECT unnest(['full', 'no_balance_diffs', 'no_balance_at_all']) AS feature_set,
+  CAST(4 AS BIGINT) AS metrics, CAST(0 AS BIGINT) AS outside"""
+    q["estimator_invariants"] = """SELECT unnest(['gbt', 'logistic_regression', 'random_forest']) AS estimator, CAST(1 AS INTEGER) AS valid"""
     return q
 
 

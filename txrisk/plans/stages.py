@@ -86,18 +86,16 @@ class ModelRun:
         discard(self.predictions)
 
 
-def _parallel_fits(weighted: DataFrame, pipelines: dict, parallelism: int | None = None) -> dict:
-    """Fit every pipeline on one prepared split, from parallel threads that
+def parallel_fits(session: SparkSession, jobs: dict, parallelism: int | None = None) -> dict:
+    """Fit every (pipeline, prepared rows) of ``jobs``, from parallel threads that
     keep the caller's job group and scheduler pool (Spark runs their jobs
     concurrently, as CrossValidator does with its ``parallelism``)."""
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import inheritable_thread_target
 
-    session = weighted.sparkSession
-    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(pipelines))) as pool:
-        futures = {n: pool.submit(inheritable_thread_target(session)(p.fit), weighted)
-                   for n, p in pipelines.items()}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(jobs))) as pool:
+        futures = {n: pool.submit(inheritable_thread_target(session)(p.fit), rows) for n, (p, rows) in jobs.items()}
         return {n: f.result() for n, f in futures.items()}
 
 
@@ -123,8 +121,8 @@ def fit_all(spark: SparkSession, enriched: DataFrame, feature_sets: dict,
     """Fit one model per feature set on one prepared train split."""
     weighted = ML.prepare_train(train_test(enriched, split_step)[0])
     try:
-        return _parallel_fits(weighted, {n: ML.build_pipeline(cols, **gbt_params)
-                                         for n, cols in feature_sets.items()}, parallelism)
+        return parallel_fits(spark, {n: (ML.build_pipeline(cols, **gbt_params), weighted)
+                                     for n, cols in feature_sets.items()}, parallelism)
     finally:
         discard(weighted)
 
@@ -198,7 +196,7 @@ def compare_estimators(spark: SparkSession, enriched: DataFrame, features=ML.FUL
     if todo:
         weighted = ML.prepare_train(train)
         try:
-            models |= _parallel_fits(weighted, todo)
+            models |= parallel_fits(spark, {n: (p, weighted) for n, p in todo.items()})
         finally:
             discard(weighted)
     return _report(spark, {n: models[n] for n in estimators}, own_test if test is None else test,
