@@ -92,3 +92,9 @@ def test_model_does_not_depend_on_the_cores():
     (p, s, n, imp), (p2, s2, n2, imp2) = got
     assert (p, n) == (p2, n2) and abs(s - s2) < 1e-6
     assert all(abs(a - b) < 1e-6 for a, b in zip(imp, imp2))
+
+
+def test_partitions_follow_the_rows(spark):
+    assert [ML.train_partitions(n) for n in (1, 33_312, 1_600_000, 1_600_001, 10**10)] == [8, 8, 8, 9, 50_000]
+    train = spark.range(100).select(F.col("id").alias(S.TX_ID), (F.col("id") % 2).cast("int").alias(S.LABEL))
+    assert ML.prepare_train(train).rdd.getNumPartitions() == 8

@@ -79,10 +79,14 @@ def build_pipeline(features=FULL_FEATURES, label: str = S.LABEL, weight: str | N
     return Pipeline(stages=[type_indexer(), assembler, estimator])
 
 
-#: Rows of a partition of the train table.  The learner samples rows per
-#: partition for its split points, so a model depends on the layout: that follows
-#: from the rows and this number, never from the cluster.
-TRAIN_ROWS_PER_PARTITION = 200_000
+#: Rows of a partition of the train table, and its least number of partitions.  The
+#: learner samples rows per partition for its split points, so a model depends on
+#: the layout: that follows from the rows and these numbers, never from the cluster.
+TRAIN_ROWS_PER_PARTITION, LEAST_TRAIN_PARTITIONS = 200_000, 8
+
+
+def train_partitions(rows: int) -> int:
+    return max(LEAST_TRAIN_PARTITIONS, -(-rows // TRAIN_ROWS_PER_PARTITION))
 
 
 def prepare_train(train: DataFrame, label: str = S.LABEL, key: str = S.TX_ID,
@@ -94,7 +98,7 @@ def prepare_train(train: DataFrame, label: str = S.LABEL, key: str = S.TX_ID,
     The tree learner makes many passes over it; the written copy cuts the
     lineage so a lost executor re-reads files instead of recomputing the
     window and join that produced the rows.  Rows are dealt by a hash of
-    ``key`` to a partition per ``TRAIN_ROWS_PER_PARTITION`` rows (or to
+    ``key`` to a number of partitions that follows from the row count (or to
     ``partitions``) and sorted within them, so the same rows give the same
     layout, and thereby the same model, on any number of cores."""
     from txrisk.session import materialize
@@ -103,15 +107,15 @@ def prepare_train(train: DataFrame, label: str = S.LABEL, key: str = S.TX_ID,
     n, positives = rows.agg(F.count(F.lit(1)), F.count_if(F.col(label) == 1)).first()
     if not positives:
         raise ValueError("train split has no positive rows; the class weight is undefined")
-    weighted = laid_out(with_class_weight(rows, label), key, partitions or -(-n // TRAIN_ROWS_PER_PARTITION))
+    weighted = laid_out(with_class_weight(rows, label), key, partitions or train_partitions(n))
     weighted._txrisk_path = rows._txrisk_path
     return weighted
 
 
 def laid_out(rows: DataFrame, key: str = S.TX_ID, partitions: int | None = None) -> DataFrame:
     """``rows`` (of a written table) dealt by a hash of ``key`` and sorted within
-    partitions; by default a partition per ``TRAIN_ROWS_PER_PARTITION`` rows."""
-    partitions = partitions or max(1, -(-rows.count() // TRAIN_ROWS_PER_PARTITION))
+    partitions; by default as :func:`train_partitions` has it."""
+    partitions = partitions or train_partitions(rows.count())
     order = [c for c in (key, *sorted(rows.columns)) if c in rows.columns]
     by = [key] if key in rows.columns else sorted(rows.columns)
     return rows.repartition(partitions, *by).sortWithinPartitions(*dict.fromkeys(order))
