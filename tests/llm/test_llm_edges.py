@@ -74,3 +74,14 @@ def test_chat_edges(spark):
     assert {k: r.n_turns for k, r in got.items()} == {1: 2, None: 1, 2: 2, -1: 2}
     assert got[None].loss_chars == 0
     assert [r.conv_id for r in chat.chat_digest(turns.where("false")).collect()] == [-1]
+
+
+def test_columns_named_like_helpers_are_kept(odd_docs):
+    taken = ["_id", "_hash", "_gone", "_source", "_size", "_copies", "_copy", "_id_1", "n_removed", "items"]
+    docs = odd_docs.select("*", *[F.lit(c).alias(c) for c in taken])
+    for keep in (quality.keep_good, line_dedup.keep_new_lines, ngram_join.keep_one, mixing.mixed_documents):
+        got, plain = keep(docs), keep(odd_docs)
+        assert got.dtypes == docs.dtypes
+        assert {tuple(r) for r in got.select(*taken).distinct().collect()} == {tuple(taken)}
+        assert sorted(map(str, got.drop(*taken).collect())) == sorted(map(str, plain.collect()))
+    assert packing.packed(docs).count() == packing.packed(odd_docs).count()

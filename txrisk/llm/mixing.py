@@ -18,7 +18,8 @@ all rows is spread like any other.
 
 Defined results: null and empty texts have size 0 and are never taken; the null
 source is a source of its own, last in order; a null id shuffles as ''; repeated
-rows are documents of their own; an empty table gives an empty mix; other
+rows are documents of their own, and rows that agree in id, source and size come
+equally often (their mean, rounded); an empty table gives an empty mix; other
 columns are not read.
 """
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import WORD, running_start, small_side, written
+from txrisk.llm.common import WORD, free_name, running_start, small_side, written
 
 WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 256
@@ -183,14 +184,15 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix has them: a document comes as often as the mix takes
     its words, to the nearest whole number (0, 1 or 2 times)."""
     t = taken(mix(sized(docs)))
+    id_, source_, size_, copies, copy_ = (free_name(docs, c) for c in ("_id", "_source", "_size", "_copies", "_copy"))
     per_row = (t.groupBy("doc_id", "source", "size")
-               .agg((F.sum("taken") / F.count("*")).alias("_taken"))
+               .agg((F.sum("taken") / F.count("*")).alias("taken"))
                .where("size > 0")
-               .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-                       F.floor(F.col("_taken") / F.col("size") + 0.5).cast("int").alias("_copies"))
-               .where("_copies > 0"))
-    on = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-          & (n_words(F.col("text")) == F.col("_size")))
+               .select(F.col("doc_id").alias(id_), F.col("source").alias(source_), F.col("size").alias(size_),
+                       F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias(copies))
+               .where(F.col(copies) > 0))
+    on = (F.col("doc_id").eqNullSafe(F.col(id_)) & F.col("source").eqNullSafe(F.col(source_))
+          & (n_words(F.col("text")) == F.col(size_)))
     return (docs.join(per_row, on)
-            .withColumn("_copy", F.explode_outer(F.sequence(F.lit(1), F.col("_copies"))))
+            .withColumn(copy_, F.explode_outer(F.sequence(F.lit(1), F.col(copies))))
             .select(*[docs[c] for c in docs.columns]))

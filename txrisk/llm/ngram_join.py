@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import textnum as X
-from txrisk.llm.common import small_side, written
+from txrisk.llm.common import free_name, small_side, written
 from txrisk.llm.linking import connected
 
 N = 5
@@ -308,9 +308,10 @@ def component_ids(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: the one with the least id, and
     one row of it.  Documents without an id stay only if no other member has one."""
-    kept = written(component_ids(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")), "kept")
-    out = docs.join(small_side(kept.distinct()), F.col("doc_id").eqNullSafe(F.col("_id")))
+    id_ = free_name(docs, "_id")
+    kept = written(component_ids(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias(id_)), "kept")
+    out = docs.join(small_side(kept.distinct()), F.col("doc_id").eqNullSafe(F.col(id_)))
     out = out.select(*[docs[c] for c in docs.columns])
-    if kept.groupBy("_id").count().where("count > 1").take(1):
+    if kept.groupBy(id_).count().where("count > 1").take(1):
         out = out.dropDuplicates(["doc_id"])
     return out
