@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from txrisk.llm.common import written
 
-TRAIN_ROWS, STEMS = 20_000, 2_000
+TRAIN_ROWS = 20_000
 #: Lengths of word beginnings that may be stems, besides whole words.
 BEGINNINGS = (4, 5, 6)
 #: Least documents and share of the toxic documents that a stem is found in, and least log odds (at the lower
@@ -161,9 +161,9 @@ def learn_stems(train: DataFrame) -> dict[str, float]:
              .select("stem", "n", F.coalesce("clean", F.lit(0)).alias("clean")))
     odds = F.log((F.col("n") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     spread = F.sqrt(1 / (F.col("n") + 0.5) + 1 / (F.col("clean") + 0.5))
-    best = (found.withColumn("odds", odds).where(F.col("odds") - 1.64 * spread >= LEAST_ODDS)
-            .orderBy(F.desc("odds"), "stem").limit(STEMS))
-    return {r["stem"]: r["odds"] for r in best.collect()}
+    # all stems that pass; each is in LEAST_SHARE of at most TRAIN_ROWS documents
+    best = found.withColumn("odds", odds).where(F.col("odds") - 1.64 * spread >= LEAST_ODDS).orderBy(F.desc("odds"), "stem")
+    return {r["stem"]: r["odds"] for r in best.toLocalIterator()}
 
 
 def fit_curve(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
