@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +48,12 @@ END_ID = 2
 #: Distinct words whose ids a worker keeps; beyond it starts anew.
 CACHE_WORDS = 400_000
 #: Characters of text that are turned into ids at once (a longer text is by itself).
-STEP_CHARS = 1 << 20
+STEP_CHARS = 1 << 22
 
+# The characters that are white space to a tokenizer's pattern.
+_SPACES = (r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 # White space next to a space, or at an end: a cut at single spaces might then part one token.
-_UNEVEN = re.compile(r"\s | \s|\A\s|\s\Z")
+_UNEVEN = rf"[{_SPACES}] | [{_SPACES}]|\A[{_SPACES}]|[{_SPACES}]\z"
 
 
 def default_tokenizer() -> str:
@@ -142,26 +145,36 @@ class Ids:
         return [own[i] if i in own else next(rest) for i in range(len(texts))]
 
     def _of_words(self, texts: list[str]) -> list[np.ndarray]:
+        """Words are cut and told apart in Arrow; a word is looked up once a call."""
         if len(self.place) > CACHE_WORDS:
             self.clear()
-        cut = []
-        for t in texts:
-            if _UNEVEN.search(t):
-                cut.append([t])
-            else:
-                first, *rest = t.split(" ")
-                cut.append([first, *[f" {w}" for w in rest]])
-        new = {w for words in cut for w in words if w not in self.place}
+        column = pa.array(texts, pa.large_string())
+        uneven = pc.match_substring_regex(column, _UNEVEN)
+        cut = pc.split_pattern(column.filter(pc.invert(uneven)), " ")
+        coded = cut.flatten().dictionary_encode()
+        code, known = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        begin = bounds[:-1]  # the first word of a text has no space before it
+        heads = [known[i] for i in code[begin].tolist()]
+        spaced = [f" {w}" for w in known]
+        whole = column.filter(uneven).to_pylist()
+        new = {w for words in (heads, spaced, whole) for w in words} - self.place.keys()
         if new:
             self._learn(sorted(new))
-        look = self.place.__getitem__
-        out = []
-        for words in cut:
-            at = np.fromiter(map(look, words), np.int64, len(words))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            out.append(self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - (ends - size), size)])
-        return out
+        find = lambda words: np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        at = find(spaced)[code] if len(known) else np.zeros(0, np.int64)
+        at[begin] = find(heads)
+        cuts = iter(self._joined(at, bounds))
+        alone = iter(self._joined(find(whole), np.arange(len(whole) + 1)))
+        return [next(alone if u else cuts) for u in uneven.to_pylist()]
+
+    def _joined(self, at: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+        """The ids of words at ``at``, one after the other, by text."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[at] - (ends - size), size)]
+        ends = np.concatenate([[0], ends])[bounds]
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def cut_points(n: int, seq_len: int) -> list[tuple[int, int]]:
