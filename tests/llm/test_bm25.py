@@ -22,9 +22,10 @@ def brute(rows, k):
     return {q: v for q, v in out.items() if v}
 
 
-@pytest.mark.parametrize("shard, per_block", [(10_000, 2_000_000), (70, 300)])
-def test_equals_brute_force(spark, monkeypatch, shard, per_block):
+@pytest.mark.parametrize("shard, per_block, first", [(10_000, 2_000_000, 8), (70, 300, 8), (9, 2_000_000, 1), (20, 400, 2)])
+def test_equals_brute_force(spark, monkeypatch, shard, per_block, first):
     monkeypatch.setattr(bm25, "SHARD_DOCS", shard)
+    monkeypatch.setattr(bm25, "FIRST_SHARDS", first)  # several rounds of shards
     monkeypatch.setattr(bm25, "QUERY_TERMS", per_block)  # several blocks of queries
     rng = random.Random(3)
     rows = [(i, invented(rng, rng.choice([0, 3, 30, 200]), 60)) for i in range(0, 2000, 5)]
@@ -42,17 +43,52 @@ def test_equals_brute_force(spark, monkeypatch, shard, per_block):
         assert {s: i for s, i in by(got[q]).items() if s > last} == {s: i for s, i in by(want[q]).items() if s > last}
 
 
-def test_blocks_below_the_kth_score_are_passed_over(spark):
+def test_shards_are_pruned_by_the_threshold():
+    import numpy as np
+    import pyarrow as pa
     rng = random.Random(1)
-    rows = [(i, "common " + invented(rng, 20, 5000)) for i in range(1500)]
-    rows += [(5000 + i, "rare rare rare rare common") for i in range(12)]
-    index = bm25.build_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
-    row = index.first().asDict()
-    shard = bm25.Shard(row, 21.0)
-    counts, = bm25.term_counts(__import__("pyarrow").array(["rare common"]))
-    order = {t: i for i, t in enumerate(counts[0])}
-    rare = next(iter(bm25.term_counts(__import__("pyarrow").array(["rare"]))))[0][0]
-    weights = [0.1, 0.1]
-    weights[order[rare]] = 8.0
-    found, _ = shard.best(counts[0], __import__("numpy").array(weights), 10)
-    assert len(found) == 12  # the ties at the k-th score, and none of the 1500
+    texts = ["common " + invented(rng, 20, 5000) for _ in range(1500)] + ["rare rare rare rare common"] * 12
+    counts = list(bm25.term_counts(pa.array(texts)))
+    batch = bm25._shard(pa.array(range(len(texts))), counts)
+    shard = bm25.Shard(batch.to_pylist()[0], 21.0)
+    hash_of = lambda w: next(bm25.term_counts(pa.array([w])))[0][0]
+    terms = np.sort(np.array([hash_of("rare"), hash_of("common")], np.uint64))
+    weights = np.where(terms == hash_of("rare"), 8.0, 0.1)
+    all_, used = shard.scored(terms, weights, 0.0)
+    some, less = shard.scored(terms, weights, 5.0)
+    assert used == 1512 + 12 and less < 100  # of the common word's postings, only those in the last blocks
+    assert np.array_equal(np.where(all_ >= 5.0, all_, 0), some) and (some > 0).sum() == 12
+    assert shard.scored(terms, weights, 1000.0)[1] == 0
+    assert len(shard.best(terms, weights, 10)[0]) == 12  # the ties at the k-th score
+
+
+def test_thresholds_lose_nothing(spark):
+    """Random shards and thresholds: what reaches one is found with its whole score."""
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(2)
+    for size in (1, 63, 64, 300):
+        counts = list(bm25.term_counts(pa.array([invented(rng, rng.choice([1, 5, 80]), 30) for _ in range(size)])))
+        shard = bm25.Shard(bm25._shard(pa.array(range(size)), counts).to_pylist()[0], 40.0)
+        for _ in range(20):
+            terms, tf = counts[rng.randrange(size)]
+            weights = tf * np.array([rng.choice([0.01, 0.5, 5.0]) for _ in tf])
+            every = shard.scored(terms, weights, 0.0)[0]
+            for least in (0.0, float(np.median(every)), float(every.max()), float(every.max()) * 2):
+                got = shard.scored(terms, weights, least)[0]
+                assert np.array_equal(got, np.where(every >= least * (1 - 1e-9), every, 0))
+
+
+def test_string_ids_and_very_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(bm25, "SHARD_POSTINGS", 500)
+    rng = random.Random(4)
+    rows = [(f"id-{i}", invented(rng, rng.choice([5, 50]), 90)) for i in range(200)]
+    rows += [("long", " ".join(f"v{i}" for i in range(30_000)) + " w1a w2b"), (None, rows[0][1]), ("none", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").coalesce(1)
+    index = bm25.build_index(docs)
+    assert index.count() > 3 and index.agg({"n": "sum"}).first()[0] == len(rows)
+    got = bm25.search(index, docs.where("doc_id in ('id-0', 'id-7', 'long', 'none') or doc_id is null"))
+    assert dict(got.dtypes)["query_id"] == dict(got.dtypes)["doc_id"] == "string"
+    best = {r.query_id: r.doc_id for r in got.where("rank = 1").collect()}
+    assert best == {"id-0": "id-0", "id-7": "id-7", "long": "long"}
+    assert [r.doc_id for r in got.where("query_id = 'id-0' and rank < 3").orderBy("rank").collect()] == ["id-0", None]

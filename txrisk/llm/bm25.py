@@ -1,23 +1,32 @@
 """Exact top-k search (operator 7).
 
-Documents are cut into shards of at most ``SHARD_DOCS``, each an inverted index
-of its own: sorted term hashes, postings by (term, document) and, for every
-block of 64 documents of a posting list, the largest impact in it.  Document
-frequencies and lengths are counted over all shards, so scores are the same in
-each.  Queries go over the shards in blocks of bounded size.  Per shard and
-query, block maxima bound the score of every block of documents; blocks are
-scored from the highest bound down, and those whose bound is below the k-th
-best score so far are passed over (block-max WAND).  The shards' best are
-merged exactly.
+Documents are cut into shards of at most ``SHARD_DOCS`` documents and about
+``SHARD_POSTINGS`` postings, each an inverted index of its own: sorted term hashes,
+postings by (term, document) and, for every block of 64 documents of a posting
+list, the largest impact in it.  Document frequencies and lengths are counted over
+all shards, so scores are the same in each.
+
+Queries go over the shards in blocks of bounded size, and over a growing number of
+shards in rounds: ``FIRST_SHARDS`` first, then as many as all rounds before had.
+After a round the k-th best score of each query so far is the threshold of the
+next, so a round finds about k documents a query and not k a shard.  In a shard,
+block-max WAND prunes by that threshold: terms are ordered by their largest
+possible contribution, and those whose contributions together stay below the
+threshold can't bring a document into the results by themselves.  The postings of
+the other terms are scored; a document with one of them stays open if its score and
+the block maxima of the rest reach the threshold, and only blocks with an open
+document have the rest scored.  A task that holds several shards raises its
+thresholds as it goes.  What is left is merged exactly.
 
 A query is a whole document; its terms weigh by how often it has them.  Terms
 are words, A-Z lowered, by 64-bit hash.  Scores are BM25 with k1 = 1.2 and
-b = 0.75; results go by score, ties by document id.
+b = 0.75; contributions of a term are rounded to 2**-34, so that sums don't depend
+on the order of addition.  Results go by score, ties by document id.
 
 Defined results: null and empty texts match nothing and, as queries, have no
-results; a null id is no query but can be found (last among ties); repeated rows
-are documents of their own; an empty table gives no rows; other columns are not
-read.
+results; a null id is no query but can be found (last among ties); ids are of any
+type; repeated rows are documents of their own; an empty table gives no rows;
+other columns are not read.  The index of one text must fit a task.
 """
 
 from __future__ import annotations
@@ -31,14 +40,16 @@ from pyspark.sql import functions as F
 
 from txrisk.llm import textnum as X
 from txrisk.llm.common import running_start, written
+from txrisk.session import discard
 
 K, K1, B = 10, 1.2, 0.75
-SHARD_DOCS, BLOCK_BITS = 8192, 6
+SHARD_DOCS, SHARD_POSTINGS, BLOCK_BITS = 8192, 4_000_000, 6
 #: Distinct terms of all queries that go over the shards at once.
 QUERY_TERMS = 2_000_000
-#: Blocks of documents that are scored first, to have a k-th best score.
-FIRST_BLOCKS = 8
-_U = np.uint64
+#: Shards of the first round; each later one has as many as all before it.
+FIRST_SHARDS = 8
+#: Contributions are whole multiples of this; bounds may fall short of a sum by rounding.
+_UNIT, _SLACK = 2.0 ** -34, 1e-9
 
 
 def term_counts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -51,39 +62,44 @@ def term_counts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield np.unique(h[lo:hi], return_counts=True)
 
 
-_SHARD = "n long, words long, ids array<long>, lengths binary, terms binary, sizes binary, docs binary, tfs binary"
+_PARTS = ["n", "words", "ids", "lengths", "terms", "sizes", "docs", "tfs"]
 
 
-def _shard(ids: list, counts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _shard(ids: pa.Array, counts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     terms = np.concatenate([t for t, _ in counts])
     tfs = np.concatenate([c for _, c in counts]).astype(np.uint32)
     docs = np.repeat(np.arange(len(counts), dtype=np.uint32), [len(t) for t, _ in counts])
     order = np.argsort(terms, kind="stable")  # documents stay in order within a term
     terms, sizes = np.unique(terms, return_counts=True)
     lengths = np.array([int(c.sum()) for _, c in counts], np.int64)
-    cells = [len(ids), int(lengths.sum()), ids, lengths.tobytes(), terms.tobytes(), sizes.astype(np.uint32).tobytes(),
-             docs[order].tobytes(), tfs[order].tobytes()]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5]
-    return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds, strict=True)],
-                                      names=[f.split()[0] for f in _SHARD.split(", ")])
+    own = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+    cells = [lengths.tobytes(), terms.tobytes(), sizes.astype(np.uint32).tobytes(), docs[order].tobytes(), tfs[order].tobytes()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([len(ids)], pa.int64()), pa.array([int(lengths.sum())], pa.int64()), own,
+         *[pa.array([c], pa.binary()) for c in cells]], names=_PARTS)
 
 
 def build_index(docs: DataFrame) -> DataFrame:
     """One row per shard (written): ids and lengths of its documents, its terms
     with their numbers of postings, and the postings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
+        ids: list[pa.Array] = []
         counts: list = []
+        size = 0
         for batch in batches:
-            for i, tc in zip(batch.column(0).to_pylist(), term_counts(batch.column(1)), strict=True):
-                ids.append(i)
+            begin = 0
+            for i, tc in enumerate(term_counts(batch.column(1))):
                 counts.append(tc)
-                if len(ids) == SHARD_DOCS:
-                    yield _shard(ids, counts)
-                    ids, counts = [], []
-        if ids:
-            yield _shard(ids, counts)
-    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SHARD), "index")
+                size += len(tc[0])
+                if len(counts) == SHARD_DOCS or size >= SHARD_POSTINGS:
+                    yield _shard(pa.concat_arrays([*ids, batch.column(0)[begin:i + 1]]), counts)
+                    ids, counts, size, begin = [], [], 0, i + 1
+            ids.append(batch.column(0)[begin:])
+        if counts:
+            yield _shard(pa.concat_arrays(ids), counts)
+    kind = dict(docs.dtypes)["doc_id"]
+    return written(docs.select("doc_id", "text").mapInArrow(
+        run, f"n long, words long, ids array<{kind}>, lengths binary, terms binary, sizes binary, docs binary, tfs binary"), "index")
 
 
 def frequencies(index: DataFrame) -> DataFrame:
@@ -102,15 +118,14 @@ def query_terms(queries: DataFrame) -> DataFrame:
     """query_id, term, qtf of the queries (doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.array(batch.column(0).to_pylist(), np.int64)
             got = list(term_counts(batch.column(1)))
             if got:
+                of = np.repeat(np.arange(len(got)), [len(t) for t, _ in got])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids, [len(t) for t, _ in got])),
-                     pa.array(np.concatenate([t for t, _ in got]).view(np.int64)),
+                    [batch.column(0).take(pa.array(of)), pa.array(np.concatenate([t for t, _ in got]).view(np.int64)),
                      pa.array(np.concatenate([c for _, c in got]).astype(np.int64))], names=["query_id", "term", "qtf"])
-    return queries.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null") \
-        .mapInArrow(run, "query_id long, term long, qtf long")
+    kind = dict(queries.dtypes)["doc_id"]
+    return queries.select("doc_id", "text").where("doc_id is not null").mapInArrow(run, f"query_id {kind}, term long, qtf long")
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -136,40 +151,91 @@ class Shard:
         self.block = block[self.run[:-1]]
         self.most = np.maximum.reduceat(self.impact, self.run[:-1]) if len(block) else self.impact
         self.first_run = np.searchsorted(self.run, self.first)
-
-    def best(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (by place) among which the shard's k best are, with ties,
-        and their scores."""
+        self.peak = np.maximum.reduceat(self.impact, self.first[:-1]) if len(block) else self.impact
+
+    def _added(self, scores: np.ndarray, start: np.ndarray, size: np.ndarray, weights: np.ndarray) -> int:
+        """Adds the contributions of runs of postings; how many there were."""
+        posts = _ranges(start, size)
+        parts = np.rint(self.impact[posts] * np.repeat(weights / _UNIT, size))
+        scores += np.bincount(self.docs[posts], parts, minlength=self.n)
+        return len(posts)
+
+    def best(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Documents (by place) among which the shard's k best of at least ``least``
+        are, with ties, and their scores."""
+        found = self.scored(terms, weights, least)[0]
+        places = np.flatnonzero(found)
+        if len(places) > k:
+            least = max(least, float(np.partition(found[places], -k)[-k]))
+        places = places[found[places] >= least * (1 - _SLACK)]
+        return places, found[places]
+
+    def scored(self, terms: np.ndarray, weights: np.ndarray, least: float) -> tuple[np.ndarray, int]:
+        """Scores of the documents that reach ``least`` (0 for others), and the number
+        of postings that were scored."""
         at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
         at, weights = at[here], weights[here]
-        size = self.first_run[at + 1] - self.first_run[at]
-        runs, w = _ranges(self.first_run[at], size), np.repeat(weights, size)
-        bound = np.bincount(self.block[runs], self.most[runs] * w) if len(runs) else np.zeros(0)
-        order = np.argsort(-bound, kind="stable")
-        scores = np.zeros(self.n)
-        least = 0.0
-        for some in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
-            open_ = np.zeros(len(bound), bool)
-            # a bound may fall short of a sum in another order by rounding
-            open_[some[bound[some] * (1 + 1e-9) >= least]] = True
-            use = open_[self.block[runs]]
+        scores, least = np.zeros(self.n), least * (1 - _SLACK)
+        order = np.argsort(weights * self.peak[at], kind="stable")
+        at, weights = at[order], weights[order]
+        total = np.cumsum(weights * self.peak[at])
+        rest = int(np.searchsorted(total, least))  # terms that don't make it by themselves
+        if rest == len(at):
+            return scores, 0
+        used = self._added(scores, self.first[at[rest:]], self.first[at[rest:] + 1] - self.first[at[rest:]], weights[rest:])
+        if rest:
+            at, weights = at[:rest], weights[:rest]
+            size = self.first_run[at + 1] - self.first_run[at]
+            runs, w = _ranges(self.first_run[at], size), np.repeat(weights, size)
+            more = np.bincount(self.block[runs], self.most[runs] * w, minlength=(self.n >> BLOCK_BITS) + 1)
+            open_ = (scores > 0) & (scores * _UNIT + np.repeat(more, 1 << BLOCK_BITS)[:self.n] >= least)
+            blocks = np.zeros(len(more), bool)
+            blocks[np.flatnonzero(open_) >> BLOCK_BITS] = True
+            use = blocks[self.block[runs]]
             r = runs[use]
-            posts = _ranges(self.run[r], self.run[r + 1] - self.run[r])
-            add = np.bincount(self.docs[posts], self.impact[posts] * np.repeat(w[use], self.run[r + 1] - self.run[r]),
-                              minlength=self.n)
-            scores += add
-            if self.n > k:
-                least = max(least, float(np.partition(scores, -k)[-k]))
-        found = np.flatnonzero((scores > 0) & (scores >= least))
-        return found, scores[found]
+            used += self._added(scores, self.run[r], self.run[r + 1] - self.run[r], w[use])
+            scores[~open_] = 0
+        scores *= _UNIT
+        scores[scores < least] = 0
+        return scores, used
+
+
+def _search_shards(index: DataFrame, sent, mean_words: float, k: int, kinds: tuple[str, str],  # noqa: ANN001
+                   least: dict[int, float]) -> DataFrame:
+    """qno, query_id, doc_id, score: what the shards of ``index`` have for the queries
+    ``sent`` (ids; terms and weights of each) from the score ``least`` on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, queries = sent.value
+        bar = np.array([least.get(q, 0.0) for q in range(len(queries))])
+        top = np.zeros((len(queries), k))  # the best scores in this task
+        hits = []
+        for batch in batches:
+            ids, rows = batch.column("ids"), batch.drop_columns(["ids"]).to_pylist()
+            for i, row in enumerate(rows):
+                shard = Shard(row, mean_words)
+                for q, (terms, weights) in enumerate(queries):
+                    places, scores = shard.best(terms, weights, k, bar[q])
+                    if len(places):
+                        top[q] = np.sort(np.append(top[q], scores))[-k:]
+                        bar[q] = max(bar[q], top[q, 0])
+                        hits.append((q, ids[i].values.take(pa.array(places)), scores))
+        for q, docs, scores in hits:
+            keep = scores >= bar[q] * (1 - _SLACK)
+            n = int(keep.sum())
+            if n:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, q, np.int32)), names.take(pa.array(np.full(n, q))), docs.filter(pa.array(keep)),
+                     pa.array(scores[keep])], names=["qno", "query_id", "doc_id", "score"])
+    return index.mapInArrow(run, f"qno int, query_id {kinds[0]}, doc_id {kinds[1]}, score double")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank (from 1), doc_id, score: the k best documents of every
     query (doc_id, text)."""
     spark = index.sparkSession
-    n, words = index.agg(F.sum("n"), F.sum("words")).first()
+    kinds = dict(queries.dtypes)["doc_id"], dict(index.dtypes)["ids"][len("array<"):-1]
+    n, words, shards = index.agg(F.sum("n"), F.sum("words"), F.count("*")).first()
     n, mean_words = n or 0, (words or 0) / (n or 1) or 1.0
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = (query_terms(queries).join(frequencies(index), "term")
@@ -180,35 +246,36 @@ def search(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     sized = per_query.withColumn("_key", F.xxhash64("query_id")).withColumn("_n", F.size("t").cast("long"))
     dealt = written(running_start(sized, [], [F.col("_key"), F.col("query_id")], F.col("_n"), "_start", 64)
                     .select("query_id", "t", F.floor(F.col("_start") / QUERY_TERMS).alias("block")), "blocks")
+    # a shard's round: its place among all, by hash, in powers of two of the first round's share
+    place = F.shiftrightunsigned(F.xxhash64("terms", "words", "lengths"), 11) / F.lit(float(1 << 53))
+    turn = F.greatest(F.lit(0), F.ceil(F.log2(place * F.lit(shards / FIRST_SHARDS)))).cast("int")
+    rounds = sorted(r[0] for r in index.select(turn).distinct().collect())  # as many as the log of the shards
     found = None
     for (block,) in sorted(dealt.select("block").distinct().collect()):
         rows = dealt.where(F.col("block") == block).select("query_id", "t.term", "t.weight").toArrow()
-        sent = spark.sparkContext.broadcast([
-            (q.as_py(), t.values.to_numpy().view(np.uint64), w.values.to_numpy())
-            for q, t, w in zip(*[rows.column(c).combine_chunks() for c in range(3)], strict=True)])
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            for batch in batches:
-                for row in batch.to_pylist():
-                    shard, ids = Shard(row, mean_words), np.array([-1 if i is None else i for i in row["ids"]], np.int64)
-                    null = np.array([i is None for i in row["ids"]])
-                    got = [(q, *shard.best(t, w, k)) for q, t, w in sent.value]
-                    at = np.concatenate([d for _, d, _ in got])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(np.array([q for q, _, _ in got], np.int64), [len(d) for _, d, _ in got])),
-                         pa.array(ids[at], mask=null[at]), pa.array(np.concatenate([s for _, _, s in got]))],
-                        names=["query_id", "doc_id", "score"])
-        part = written(_top(index.mapInArrow(run, "query_id long, doc_id long, score double"), k), "found")
-        found = part if found is None else found.unionByName(part)
+        names, terms, weights = (rows.column(c).combine_chunks() for c in range(3))
+        sent = spark.sparkContext.broadcast((names, [(t.values.to_numpy().view(np.uint64), w.values.to_numpy())
+                                                     for t, w in zip(terms, weights, strict=True)]))
+        hits, least = None, {}
+        for r in rounds:
+            own = _search_shards(index.where(turn == r) if len(rounds) > 1 else index, sent, mean_words, k, kinds, least)
+            old, hits = hits, written(_best_of(own if hits is None else hits.drop("rank").unionByName(own), k), "hits")
+            if old is not None:
+                discard(old)
+            if r != rounds[-1]:  # a score per query of the block
+                least = {x["qno"]: x["least"] for x in hits.groupBy("qno").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+                         .where(F.col("n") >= k).collect()}
+        sent.destroy()
+        found = hits if found is None else found.unionByName(hits)
     if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    return found
+        return spark.createDataFrame([], f"query_id {kinds[0]}, rank int, doc_id {kinds[1]}, score double")
+    return found.select("query_id", "rank", "doc_id", "score")
 
 
-def _top(hits: DataFrame, k: int) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
+def _best_of(hits: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("qno").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
+            .select("qno", "query_id", "rank", "doc_id", "score"))
 
 
 def is_query(doc_id: Column) -> Column:
