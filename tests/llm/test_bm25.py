@@ -54,29 +54,34 @@ def test_shards_are_pruned_by_the_threshold():
     hash_of = lambda w: next(bm25.term_counts(pa.array([w])))[0][0]
     terms = np.sort(np.array([hash_of("rare"), hash_of("common")], np.uint64))
     weights = np.where(terms == hash_of("rare"), 8.0, 0.1)
-    all_, used = shard.scored(terms, weights, 0.0)
-    some, less = shard.scored(terms, weights, 5.0)
-    assert used == 1512 + 12 and less < 100  # of the common word's postings, only those in the last blocks
-    assert np.array_equal(np.where(all_ >= 5.0, all_, 0), some) and (some > 0).sum() == 12
-    assert shard.scored(terms, weights, 1000.0)[1] == 0
-    assert len(shard.best(terms, weights, 10)[0]) == 12  # the ties at the k-th score
+    def scored(least):
+        scores, looked = shard.scored([(terms, weights)], np.array([least]))
+        return scores[0], looked[0]
 
+    all_, looked = scored(0.0)
+    some, less = scored(5.0)
+    assert looked == 1512 and less == 12  # the common word is looked up where the rare one is
+    assert np.allclose(np.where(all_ >= 5.0, all_, 0), some) and (some > 0).sum() == 12
+    assert scored(1000.0)[1] == 0 and not scored(1000.0)[0].any()
+    assert len(bm25._best(all_, 10)) == 12  # the ties at the k-th score
 
-def test_thresholds_lose_nothing(spark):
+
+def test_thresholds_lose_nothing():
     """Random shards and thresholds: what reaches one is found with its whole score."""
     import numpy as np
     import pyarrow as pa
     rng = random.Random(2)
     for size in (1, 63, 64, 300):
-        counts = list(bm25.term_counts(pa.array([invented(rng, rng.choice([1, 5, 80]), 30) for _ in range(size)])))
+        counts = list(bm25.term_counts(pa.array([invented(rng, rng.choice([0, 1, 5, 80]), 30) for _ in range(size)])))
         shard = bm25.Shard(bm25._shard(pa.array(range(size)), counts).to_pylist()[0], 40.0)
+        queries = []
         for _ in range(20):
             terms, tf = counts[rng.randrange(size)]
-            weights = tf * np.array([rng.choice([0.01, 0.5, 5.0]) for _ in tf])
-            every = shard.scored(terms, weights, 0.0)[0]
-            for least in (0.0, float(np.median(every)), float(every.max()), float(every.max()) * 2):
-                got = shard.scored(terms, weights, least)[0]
-                assert np.array_equal(got, np.where(every >= least * (1 - 1e-9), every, 0))
+            queries.append((terms, tf * np.array([rng.choice([0.01, 0.5, 5.0]) for _ in tf])))
+        every = shard.scored(queries, np.zeros(20))[0]
+        for least in (np.median(every, 1), every.max(1), every.max(1) * 2, every.max(1) * np.arange(20) / 20):
+            got = shard.scored(queries, least)[0]
+            assert np.allclose(got, np.where(every >= bm25._floor(least)[:, None], every, 0), rtol=1e-12, atol=0)
 
 
 def test_string_ids_and_very_long_texts(spark, monkeypatch):

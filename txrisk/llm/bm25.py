@@ -1,27 +1,28 @@
 """Exact top-k search (operator 7).
 
 Documents are cut into shards of at most ``SHARD_DOCS`` documents and about
-``SHARD_POSTINGS`` postings, each an inverted index of its own: sorted term hashes,
-postings by (term, document) and, for every block of 64 documents of a posting
-list, the largest impact in it.  Document frequencies and lengths are counted over
-all shards, so scores are the same in each.
+``SHARD_POSTINGS`` postings, each an inverted index of its own: sorted term hashes
+and postings by (term, document); in memory a term that many documents have is a
+row of impacts with the largest impact of every block of 64 documents.  Document
+frequencies and lengths are counted over all shards, so scores are the same in
+each.
 
 Queries go over the shards in blocks of bounded size, and over a growing number of
 shards in rounds: ``FIRST_SHARDS`` first, then as many as all rounds before had.
 After a round the k-th best score of each query so far is the threshold of the
 next, so a round finds about k documents a query and not k a shard.  In a shard,
-block-max WAND prunes by that threshold: terms are ordered by their largest
-possible contribution, and those whose contributions together stay below the
-threshold can't bring a document into the results by themselves.  The postings of
-the other terms are scored; a document with one of them stays open if its score and
-the block maxima of the rest reach the threshold, and only blocks with an open
-document have the rest scored.  A task that holds several shards raises its
-thresholds as it goes.  What is left is merged exactly.
+block-max WAND prunes by that threshold: common terms are ordered by their largest
+possible contribution, and the first ones, which together stay well below the
+threshold and can't bring a document into the results by themselves, are left for
+later.  The other terms are scored; a document stays open if its score and the
+block maxima of the terms left reach the threshold, and only open documents have
+those looked up.  A task that holds several shards raises its thresholds as it
+goes.  What is left is merged exactly.
 
 A query is a whole document; its terms weigh by how often it has them.  Terms
 are words, A-Z lowered, by 64-bit hash.  Scores are BM25 with k1 = 1.2 and
-b = 0.75; contributions of a term are rounded to 2**-34, so that sums don't depend
-on the order of addition.  Results go by score, ties by document id.
+b = 0.75, rounded to 2**-34, so that equal documents tie whatever the order of
+addition.  Results go by score, ties by document id.
 
 Defined results: null and empty texts match nothing and, as queries, have no
 results; a null id is no query but can be found (last among ties); ids are of any
@@ -43,18 +44,25 @@ from txrisk.llm.common import running_start, written
 from txrisk.session import discard
 
 K, K1, B = 10, 1.2, 0.75
-SHARD_DOCS, SHARD_POSTINGS, BLOCK_BITS = 8192, 4_000_000, 6
+SHARD_DOCS, SHARD_POSTINGS, BLOCK_BITS = 8192, 1 << 20, 6
+#: Bytes of text that are cut into terms at once.
+TEXT_BYTES = 1 << 20
 #: Distinct terms of all queries that go over the shards at once.
 QUERY_TERMS = 2_000_000
 #: Shards of the first round; each later one has as many as all before it.
 FIRST_SHARDS = 8
-#: Contributions are whole multiples of this; bounds may fall short of a sum by rounding.
-_UNIT, _SLACK = 2.0 ** -34, 1e-9
+#: One in so many documents of a shard has a common term; the share of the threshold
+#: that the largest contributions of the terms left for later may make together.
+COMMON, SPLIT = 16, 0.25
+#: Queries that a shard scores at once.
+AT_ONCE = 32
+#: Scores are whole multiples of this; bounds may fall short of a sum by rounding.
+_UNIT, _SLACK = 2.0 ** -34, 1e-7
 
 
 def term_counts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sorted term hashes of every text, and how often it has them."""
-    for _, raw, off in X.blocks(texts):
+    for _, raw, off in X.blocks(texts, TEXT_BYTES):
         b = X.LOWER[raw]
         start, end, first = X.words(b, off)
         h = X.SpanHash(b).of(start, end)
@@ -135,70 +143,86 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Shard:
+    """The index of a shard in memory.  Terms of ``1 / COMMON`` of its documents or more
+    are kept as a row of impacts by document, with the largest of each block of
+    documents; the others as postings."""
+
     def __init__(self, row: dict, mean_words: float):
         get = lambda c, t: np.frombuffer(row[c], t)
         self.n, self.terms = row["n"], get("terms", np.uint64)
-        self.first = np.concatenate([[0], np.cumsum(get("sizes", np.uint32), dtype=np.int64)])
+        sizes = get("sizes", np.uint32).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
         self.docs = get("docs", np.uint32).astype(np.int64)
         tf, long = get("tfs", np.uint32).astype(float), get("lengths", np.int64) / mean_words
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * long[self.docs]))
-        # runs of postings of a term within a block of documents
-        block = self.docs >> BLOCK_BITS
-        new = np.ones(len(block), bool)
-        new[1:] = block[1:] != block[:-1]
-        new[self.first[:-1]] = True
-        self.run = np.append(np.flatnonzero(new), len(block))
-        self.block = block[self.run[:-1]]
-        self.most = np.maximum.reduceat(self.impact, self.run[:-1]) if len(block) else self.impact
-        self.first_run = np.searchsorted(self.run, self.first)
-        self.peak = np.maximum.reduceat(self.impact, self.first[:-1]) if len(block) else self.impact
-
-    def _added(self, scores: np.ndarray, start: np.ndarray, size: np.ndarray, weights: np.ndarray) -> int:
-        """Adds the contributions of runs of postings; how many there were."""
-        posts = _ranges(start, size)
-        parts = np.rint(self.impact[posts] * np.repeat(weights / _UNIT, size))
-        scores += np.bincount(self.docs[posts], parts, minlength=self.n)
-        return len(posts)
-
-    def best(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (by place) among which the shard's k best of at least ``least``
-        are, with ties, and their scores."""
-        found = self.scored(terms, weights, least)[0]
-        places = np.flatnonzero(found)
-        if len(places) > k:
-            least = max(least, float(np.partition(found[places], -k)[-k]))
-        places = places[found[places] >= least * (1 - _SLACK)]
-        return places, found[places]
-
-    def scored(self, terms: np.ndarray, weights: np.ndarray, least: float) -> tuple[np.ndarray, int]:
-        """Scores of the documents that reach ``least`` (0 for others), and the number
-        of postings that were scored."""
+        self.peak = np.maximum.reduceat(self.impact, self.first[:-1]) if len(sizes) else self.impact
+        common = np.flatnonzero(sizes * COMMON >= self.n)
+        self.row = np.full(len(sizes), -1)
+        self.row[common] = np.arange(len(common))
+        blocks = -(-self.n // (1 << BLOCK_BITS))
+        whole = np.zeros((len(common), blocks << BLOCK_BITS))
+        for row_, t in zip(whole, common.tolist()):
+            at = slice(self.first[t], self.first[t + 1])
+            row_[self.docs[at]] = self.impact[at]
+        self.most = whole.reshape(len(common), blocks, 1 << BLOCK_BITS).max(2, initial=0.0)
+        self.common = whole[:, :self.n]
+
+    def scored(self, queries: list[tuple[np.ndarray, np.ndarray]], least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores by (query, document), 0 for those that don't reach the query's
+        ``least``, and for each query the documents whose common terms were all
+        looked up."""
+        count, least = len(queries), _floor(least)
+        q = np.repeat(np.arange(count), [len(t) for t, _ in queries])
+        terms, weights = (np.concatenate([x[i] for x in queries]) for i in (0, 1))
         at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        at, weights = at[here], weights[here]
-        scores, least = np.zeros(self.n), least * (1 - _SLACK)
-        order = np.argsort(weights * self.peak[at], kind="stable")
-        at, weights = at[order], weights[order]
-        total = np.cumsum(weights * self.peak[at])
-        rest = int(np.searchsorted(total, least))  # terms that don't make it by themselves
-        if rest == len(at):
-            return scores, 0
-        used = self._added(scores, self.first[at[rest:]], self.first[at[rest:] + 1] - self.first[at[rest:]], weights[rest:])
-        if rest:
-            at, weights = at[:rest], weights[:rest]
-            size = self.first_run[at + 1] - self.first_run[at]
-            runs, w = _ranges(self.first_run[at], size), np.repeat(weights, size)
-            more = np.bincount(self.block[runs], self.most[runs] * w, minlength=(self.n >> BLOCK_BITS) + 1)
-            open_ = (scores > 0) & (scores * _UNIT + np.repeat(more, 1 << BLOCK_BITS)[:self.n] >= least)
-            blocks = np.zeros(len(more), bool)
-            blocks[np.flatnonzero(open_) >> BLOCK_BITS] = True
-            use = blocks[self.block[runs]]
-            r = runs[use]
-            used += self._added(scores, self.run[r], self.run[r + 1] - self.run[r], w[use])
-            scores[~open_] = 0
-        scores *= _UNIT
-        scores[scores < least] = 0
-        return scores, used
+        q, at, weights = q[here], at[here], weights[here]
+        rows = self.row[at]
+        rare = rows < 0
+        # common terms by their largest contribution: the first ones of a query stay for later
+        cq, rows, w = q[~rare], rows[~rare], weights[~rare]
+        peak = w * self.peak[at[~rare]]
+        order = np.lexsort((peak, cq))
+        cq, rows, w, peak = cq[order], rows[order], w[order], peak[order]
+        total = np.cumsum(peak)
+        begin = np.searchsorted(cq, np.arange(count))
+        total -= np.concatenate([[0.0], total])[begin][cq]
+        late = total < (least * SPLIT)[cq]
+        now, later = (np.zeros((count, len(self.common))) for _ in range(2))
+        now[cq[~late], rows[~late]] = w[~late]
+        later[cq[late], rows[late]] = w[late]
+        q, at, weights = q[rare], at[rare], weights[rare]
+        size = self.first[at + 1] - self.first[at]
+        posts = _ranges(self.first[at], size)
+        flat = np.bincount(self.docs[posts] + np.repeat(q * self.n, size), self.impact[posts] * np.repeat(weights, size),
+                           minlength=count * self.n).reshape(count, self.n)
+        scores = flat + now @ self.common
+        looked = np.full(count, self.n)
+        waits = np.flatnonzero(later.any(1))
+        if len(waits):
+            bound = np.repeat(later[waits] @ self.most, 1 << BLOCK_BITS, axis=1)[:, :self.n]
+            open_ = scores[waits] + bound >= least[waits][:, None]
+            for i, may in zip(waits.tolist(), open_):
+                docs, use = np.flatnonzero(may), np.flatnonzero(later[i])
+                looked[i] = len(docs)
+                sums = scores[i, docs] + later[i, use] @ self.common[np.ix_(use, docs)]
+                scores[i] = 0
+                scores[i, docs] = sums
+        scores[scores < least[:, None]] = 0
+        return scores, looked
+
+
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Documents (by place) with the k best scores over 0, and ties of the last."""
+    places = np.flatnonzero(scores)
+    if len(places) > k:
+        places = places[scores[places] >= np.partition(scores[places], -k)[-k] - _UNIT]
+    return places
+
+
+def _floor(least: np.ndarray) -> np.ndarray:
+    """What a score has to reach, with room for rounding."""
+    return np.maximum(least * (1 - _SLACK) - _SLACK, 0.0)
 
 
 def _search_shards(index: DataFrame, sent, mean_words: float, k: int, kinds: tuple[str, str],  # noqa: ANN001
@@ -214,14 +238,17 @@ def _search_shards(index: DataFrame, sent, mean_words: float, k: int, kinds: tup
             ids, rows = batch.column("ids"), batch.drop_columns(["ids"]).to_pylist()
             for i, row in enumerate(rows):
                 shard = Shard(row, mean_words)
-                for q, (terms, weights) in enumerate(queries):
-                    places, scores = shard.best(terms, weights, k, bar[q])
-                    if len(places):
-                        top[q] = np.sort(np.append(top[q], scores))[-k:]
+                own = ids[i].values
+                for lo in range(0, len(queries), AT_ONCE):
+                    scores = shard.scored(queries[lo:lo + AT_ONCE], bar[lo:lo + AT_ONCE])[0]
+                    for q in (np.flatnonzero(scores.any(1)) + lo).tolist():
+                        places = _best(scores[q - lo], k)
+                        got = np.rint(scores[q - lo, places] / _UNIT) * _UNIT
+                        top[q] = np.sort(np.append(top[q], got))[-k:]
                         bar[q] = max(bar[q], top[q, 0])
-                        hits.append((q, ids[i].values.take(pa.array(places)), scores))
+                        hits.append((q, own.take(pa.array(places)), got))
         for q, docs, scores in hits:
-            keep = scores >= bar[q] * (1 - _SLACK)
+            keep = scores >= _floor(bar[q])
             n = int(keep.sum())
             if n:
                 yield pa.RecordBatch.from_arrays(

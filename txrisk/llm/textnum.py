@@ -45,8 +45,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row of the first text, bytes, offsets of the texts in them)."""
+def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row of the first text, bytes, offsets of the texts in them), of ``size`` bytes
+    at most unless a text is longer."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.fill_null("").cast(pa.large_string())
@@ -55,7 +56,7 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     i = 0
     while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(off, off[i] + BLOCK_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1)
         yield i, data[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
 
