@@ -15,6 +15,10 @@ itself be a column expression (a stratified sample sized from the data).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,3 +68,58 @@ def stratified_sample(tx: DataFrame, n_total: int = 500_000, seed: int = SAMPLE_
     pos = tx.where(F.col(label) == 1)
     n_neg = F.greatest(F.lit(n_total) - pos.agg(F.count(F.lit(1))).scalar(), F.lit(0))
     return pos.unionByName(hash_sample(tx.where(F.col(label) == 0), n_neg, seed))
+
+
+# ------------------------------------------------------- mergeable least-k summary
+
+DIGEST = "sample_digest"
+#: Tasks that reduce the leasts of all scan tasks before the last one does.
+MERGE_TASKS = 32
+
+
+def _least(n: int):
+    """The ``n`` rows of a partition with the least digests, at most 4 n held."""
+    def cut(rows: pa.Table) -> pa.Table:
+        if rows.num_rows <= n:
+            return rows
+        return rows.take(pc.select_k_unstable(rows, n, [(DIGEST, "ascending")]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
+        for batch in batches:
+            if last is not None:  # beyond the n-th least so far
+                batch = batch.filter(pc.less_equal(batch.column(DIGEST), last))
+            held.append(batch)
+            size += batch.num_rows
+            if size > 4 * n:
+                kept = cut(pa.Table.from_batches(held))
+                held, size = kept.to_batches(), kept.num_rows
+                last = pc.max(kept.column(DIGEST))
+        if held:
+            yield from cut(pa.Table.from_batches(held)).combine_chunks().to_batches(max_chunksize=50_000)
+    return run
+
+
+def bottom_k(df: DataFrame, n: int, seed: int = SAMPLE_SEED, key: str = S.TX_ID) -> DataFrame:
+    """The ``n`` rows with the least ``md5(seed || key)`` and that digest, in one scan:
+    every task keeps its own ``n`` least, a few tasks those of all, one the last.  Its
+    rows stand for all rows of ``df`` in :func:`merge_bottom_k`.  ``key`` must be
+    unique and not null."""
+    return _reduced(df.withColumn(DIGEST, sample_digest(seed, key)), n)
+
+
+def _reduced(rows: DataFrame, n: int) -> DataFrame:
+    schema = rows.schema
+    own = rows.mapInArrow(_least(n), schema)
+    some = own.repartition(MERGE_TASKS, DIGEST).mapInArrow(_least(n), schema)
+    return some.coalesce(1).mapInArrow(_least(n), schema)  # MERGE_TASKS * n rows at most
+
+
+def merge_bottom_k(n: int, *summaries: DataFrame) -> DataFrame:
+    """The summary of all rows behind ``summaries`` (of the same seed and key, each of
+    ``n`` rows at least or of all its rows)."""
+    rows = summaries[0]
+    for s in summaries[1:]:
+        rows = rows.unionByName(s)
+    return _reduced(rows, n)

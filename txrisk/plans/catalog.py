@@ -249,6 +249,20 @@ def q_legit_sample(spark, d):
     return _report(s.select(S.TX_ID, S.STEP, S.TYPE, S.AMOUNT, S.LABEL))
 
 
+def q_legit_sample_one_scan(spark, d):
+    """The same sample from a summary made in one scan."""
+    view = FL.slice_tx(_tx(spark, d)).where(F.col(S.LABEL) == 0).select(S.TX_ID, S.STEP, S.TYPE, S.AMOUNT, S.LABEL)
+    return _report(U.bottom_k(view, 50_000).drop(U.DIGEST))
+
+
+def q_legit_sample_merged(spark, d):
+    """The same sample from the stored summary of earlier rows, merged with later ones."""
+    view = _tx(spark, d).where(F.col(S.LABEL) == 0).select(S.TX_ID, S.STEP, S.TYPE, S.AMOUNT, S.LABEL)
+    early = F.coalesce(F.col(S.STEP) <= S.SPLIT_STEP, F.lit(True))
+    stored = materialize(U.bottom_k(view.where(early), 50_000), "sample")
+    return _report(U.merge_bottom_k(50_000, stored, U.bottom_k(view.where(~early), 50_000)).drop(U.DIGEST))
+
+
 def q_stratified_sample(spark, d):
     s = U.stratified_sample(_tx(spark, d))
     return _report(s.select(S.TX_ID, S.STEP, S.TYPE, S.AMOUNT, S.LABEL))

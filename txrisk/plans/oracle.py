@@ -324,6 +324,8 @@ FROM (SELECT count(*) FILTER (WHERE isFraud = 1) AS positives,
     q["best_threshold_amount"] = _with(TX, ENRICHED, tc) + \
         "SELECT k, threshold, fn, fp, CAST(cost AS DOUBLE) AS cost FROM costs ORDER BY cost, k LIMIT 1"
 
+    for name in ("legit_sample_one_scan", "legit_sample_merged"):
+        q[name] = q["legit_sample"]
     for name in ("arrival_velocity", "layout_velocity"):
         q[name] = q["dest_velocity"]
     q["clustered_table"] = W_TX + f"SELECT {TX_COLS} FROM tx"
