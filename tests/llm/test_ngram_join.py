@@ -96,3 +96,53 @@ def test_keep_one(spark):
     a, b = invented(rng, 50), invented(rng, 50)
     docs = spark.createDataFrame([(5, a), (3, a), (3, a), (9, b), (8, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in ngram_join.keep_one(docs).collect()) == [3, 8, 9]
+
+
+def test_blocks_of_a_group_make_the_pairs_that_need_comparing(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rng = random.Random(6)
+    rows = []
+    for grp in range(6):
+        ids = rng.sample(range(1000), [1, 2, 3, 9, 30, 60][grp])
+        for i in ids:
+            n = rng.randrange(20, 40)
+            before = [rng.randrange(25) for _ in range(rng.randrange(3))] if rng.random() < 0.8 else None
+            rows.append((grp, i, i % 7 if i % 3 else i, len(ids), n, rng.randrange(1, 9), before))
+    members = spark.createDataFrame(rows, "grp long, id long, comp long, size long, n long, pos long, before array<long>")
+    got = sorted(map(tuple, ngram_join._rest_of(members).collect()))
+    want = []
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[1] < y[1] and x[2] != y[2] and not set(x[6] or []) & set(y[6] or []):
+                n, m = sorted((x[4], y[4]))
+                room = min(x[5], y[5]) + min(x[4] - x[5], y[4] - y[5])
+                if n * 100 >= m * 75 and room >= -(-(n + m) * 75 // 175):
+                    want.append((x[1], y[1]))
+    assert got == sorted(want) and len(want) > 100
+
+
+def test_every_partition_gets_one_bucket(spark):
+    from pyspark.sql import functions as F
+    for buckets in (1, 8, 37):
+        numbers = ngram_join.even_buckets(spark, buckets)
+        dealt = spark.createDataFrame([(n,) for n in numbers], "id long").select(F.pmod(F.hash("id"), F.lit(buckets)))
+        assert [r[0] for r in dealt.collect()] == list(range(buckets))
+
+
+def test_overlaps_of_a_cell():
+    import random
+
+    import numpy as np
+    rng = random.Random(8)
+    base = [rng.randrange(-2**63, 2**63) for _ in range(300)]
+    docs = [sorted(rng.sample(base, rng.randrange(1, 60)) if i % 2 else rng.sample(base[:70], rng.randrange(40, 70))) for i in range(60)]
+    extra = np.array([rng.randrange(5) for _ in docs])
+    n = np.array([len(d) for d in docs]) + extra
+    pairs = [(i, j) for i in range(60) for j in range(i + 1, 60)]
+    rng.shuffle(pairs)
+    a, b = (np.array(c) for c in zip(*pairs))
+    got = ngram_join._linked(n, [np.array(d, np.int64) for d in docs], a, b)
+    want = [100 * (k := len(set(docs[i]) & set(docs[j]))) >= 75 * (n[i] + n[j] - k) for i, j in pairs]
+    assert got.tolist() == want and 50 < sum(want) < len(want) / 2
+    assert ngram_join._linked(n, [np.array(d, np.int64) for d in docs], a[:0], b[:0]).tolist() == []

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm.common import small_side, written
+from txrisk.session import discard
 
 #: Pairs left per member at which the rest is compared at once, and rounds after which it is in any case.
 PAIRS_PER_MEMBER, ROUNDS = 1, 8
@@ -41,9 +42,10 @@ def components(links: DataFrame) -> DataFrame:
         moves.append(move)
         to = small_side(move)
         end = lambda c: to.select(F.col("id").alias(c), F.col("to").alias(f"{c}_to"))
-        edges = written(edges.join(end("a"), "a").join(end("b"), "b").where("a_to <> b_to")
+        old, edges = edges, written(edges.join(end("a"), "a").join(end("b"), "b").where("a_to <> b_to")
                         .select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b"))
                         .distinct(), "edges")
+        discard(old)
     if not moves:
         return links.select(F.col("a").alias("id"), F.col("a").alias("root")).where("false")
     out = moves[-1].withColumnRenamed("to", "root")
@@ -58,9 +60,14 @@ def components(links: DataFrame) -> DataFrame:
 
 def connected(members: DataFrame, may_link: Callable[[Column, Column], Column],
               verify: Callable[[DataFrame], DataFrame], attrs: list[str],
-              met_before: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+              met_before: Callable[[Column, Column], Column] | None = None,
+              rest_of: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Classes of ``members`` (grp, id, *attrs).
 
+    ``rest_of`` may make the pairs (a, b) of the last round in its own way, from the
+    members (grp, id, comp, size of the group, *attrs); it then applies both
+    conditions below itself.
+
     ``may_link`` tells from the attributes (as structs) of two members whether
     they need comparing, ``met_before`` whether they meet in another group that
     comes earlier; ``verify`` keeps the linked ones of pairs (a, b).
@@ -78,14 +85,17 @@ def connected(members: DataFrame, may_link: Callable[[Column, Column], Column],
         sizes = m.groupBy("grp", "comp").agg(F.count("*").alias("n"))
         left = (sizes.groupBy("grp").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"),
                                          F.count("*").alias("comps")).where("comps > 1"))
-        left = written(left.select("grp", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs")), "left")
+        left = written(left.select("grp", F.col("n").alias("size"), ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs")), "left")
         rest = left.agg(F.sum("pairs")).first()[0] or 0
         if not rest:
             break
+        sized = left.select("grp", "size")
         last = turn == ROUNDS or rest <= PAIRS_PER_MEMBER * n or (before is not None and 2 * rest > before)
         before = rest
-        m = written(m.join(small_side(left.select("grp")), "grp"), "members")
-        if last:
+        m = written(m.join(small_side(sized), "grp"), "members-left")
+        if last and rest_of:
+            pairs = rest_of(m)
+        elif last:
             # pairs of classes of a group, then their members: no pair within a class is made
             side = m.select("grp", "comp").distinct()
             classes = (side.join(side.withColumnRenamed("comp", "comp_b"), "grp").where("comp < comp_b"))
@@ -96,18 +106,25 @@ def connected(members: DataFrame, may_link: Callable[[Column, Column], Column],
         else:
             pivots = m.groupBy("grp").agg(F.min_by(own, F.struct(F.xxhash64("grp", "id", F.lit(turn)), "id")).alias("y"))
             pairs = m.select("grp", own.alias("x")).join(pivots, "grp").where("x.comp <> y.comp")
-        pairs = (pairs.where(may_link(F.col("x"), F.col("y")))
-                 .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+        if "x" in pairs.columns:
+            pairs = (pairs.where(may_link(F.col("x"), F.col("y")))
+                     .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(verify(pairs).select("a", "b"), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        labels = written(components(links), "labels")
+        old, labels = labels, written(components(links), "labels")
+        for done in (left, m, old):
+            if done is not None:
+                discard(done)
         if last:
             break
+    discard(members)
     if labels is None:
-        links = members.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
+        kind = dict(members.dtypes)["id"]
+        links = members.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
         labels = links.select(F.col("a").alias("id"), F.col("b").alias("root"))
     return labels, links

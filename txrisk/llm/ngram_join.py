@@ -14,8 +14,8 @@ more are linked; returned are the classes that links connect.
    prefix of ``n - ceil(0.75 n) + 1`` shingles, without those that no other
    class has.  Members of a posting meet under the length filter and the
    positional filter, distinct pairs are verified once: a filter on the
-   suffixes (halving both lists by value bounds the overlap), then the exact
-   overlap.  ``linking`` keeps postings of any size from becoming all pairs.
+   suffixes (cutting both lists at the same values bounds the overlap), then the
+   exact overlap.  ``linking`` keeps postings of any size from becoming all pairs.
 
 Defined results: null texts and texts without words have the empty set and link
 with nothing; repeated rows and ties get the same class; a null id counts in a
@@ -29,12 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm import textnum as X
 from txrisk.llm.common import free_name, small_side, written
 from txrisk.llm.linking import connected
+from txrisk.session import discard
 
 N = 5
 #: The threshold as a fraction, 75 / 100.
@@ -103,14 +105,23 @@ def _credited(grams: np.ndarray, keys: np.ndarray, known: np.ndarray, is_new: np
     return g[begin], k[begin], shared, credit
 
 
-def _credit_batch(keys: np.ndarray) -> pa.RecordBatch:
-    ids, counts = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([_signed(ids), pa.array(counts.astype(np.int64))], names=["key", "credit"])
+def even_buckets(spark: SparkSession, buckets: int) -> list[int]:
+    """A number for each of ``buckets`` partitions that a shuffle deals to it, so that
+    every partition gets one bucket."""
+    place = F.pmod(F.hash("id"), F.lit(buckets))
+    of = {}
+    wide = 16 * buckets
+    while len(of) < buckets:
+        of = {r["p"]: r["id"] for r in spark.range(wide).groupBy(place.alias("p")).agg(F.min("id").alias("id")).collect()}
+        wide *= 2
+    return [of[p] for p in range(buckets)]
 
 
 def screen(docs: DataFrame, buckets: int) -> DataFrame:
     """key, credit: no fewer than the shingles in the class's stretch that
     another class has in its own."""
+    number = even_buckets(docs.sparkSession, buckets)
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         size = turn = 0
@@ -131,9 +142,9 @@ def screen(docs: DataFrame, buckets: int) -> DataFrame:
                 one = ~shared[lo:hi]
                 ks = k[lo:hi][one]  # sorted: named once, with the length of its run
                 uniq, runs = np.unique(ks, return_counts=True)
-                rows.append((int(b), g[lo:hi][one].tobytes(), uniq.tobytes(), runs.astype(np.uint32).tobytes(),
+                rows.append((number[b], g[lo:hi][one].tobytes(), uniq.tobytes(), runs.astype(np.uint32).tobytes(),
                              g[lo:hi][~one].tobytes(), b"", b""))
-            rows.append((turn % buckets, b"", b"", b"", b"", ids.tobytes(), counts.astype(np.int64).tobytes()))
+            rows.append((number[turn % buckets], b"", b"", b"", b"", ids.tobytes(), counts.astype(np.int64).tobytes()))
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows, strict=True))],
                 names=["bucket", "grams", "keys", "runs", "known", "ids", "counts"])
@@ -151,36 +162,54 @@ def screen(docs: DataFrame, buckets: int) -> DataFrame:
             yield out()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One pass over a partition's postings; held are its distinct shingles."""
+        """One pass over a partition's postings; held are its distinct shingles, and
+        the credits of up to ``HOLD`` classes, which leave it once."""
         state = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)]
         new: list[tuple] = []
         size = 0
-
-        def fold() -> pa.RecordBatch:
+        credits: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            ids, at = np.unique(np.concatenate([i for i, _ in credits]), return_inverse=True)
+            return ids, np.bincount(at, np.concatenate([c for _, c in credits])).astype(np.int64)
+
+        def add(ids: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            credits.append((ids, counts))
+            if sum(len(i) for i, _ in credits) > HOLD:
+                credits[:] = [summed()]
+                if 2 * len(credits[0][0]) > HOLD:
+                    yield from pass_on()
+
+        def pass_on() -> Iterator[pa.RecordBatch]:
+            if credits:
+                ids, counts = summed()
+                yield pa.RecordBatch.from_arrays([_signed(ids), pa.array(counts)], names=["key", "credit"])
+            credits.clear()
+
+        def fold() -> tuple[np.ndarray, np.ndarray]:
             grams, keys, known = (np.concatenate([state[i], *[x[i] for x in new]]) for i in range(3))
             is_new = np.arange(len(grams)) >= len(state[0])
             # what is known to be shared names no class to credit
             is_new &= ~known
             g, k, shared, credit = _credited(grams, keys, known, is_new)
             state[:] = [g, k, shared]
-            return _credit_batch(credit)
+            return np.unique(credit, return_counts=True)
 
         for batch in batches:
             for _, grams, keys, runs, known, ids, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if ids:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.frombuffer(ids, np.int64)), pa.array(np.frombuffer(counts, np.int64))],
-                        names=["key", "credit"])
+                    yield from add(np.frombuffer(ids, np.uint64), np.frombuffer(counts, np.int64))
                 g = np.frombuffer(grams, np.uint64)
                 k = np.repeat(np.frombuffer(keys, np.uint64), np.frombuffer(runs, np.uint32))
                 s = np.frombuffer(known, np.uint64)
                 new += [(g, k, np.zeros(len(g), bool)), (s, np.zeros(len(s), np.uint64), np.ones(len(s), bool))]
                 size += len(g) + len(s)
                 if size >= max(HOLD, len(state[0])):
-                    yield fold()
+                    yield from add(*fold())
                     new, size = [], 0
         if new:
-            yield fold()
+            yield from add(*fold())
+        yield from pass_on()
 
     posted = docs.select("text").mapInArrow(
         post, "bucket long, grams binary, keys binary, runs binary, known binary, ids binary, counts binary")
@@ -231,31 +260,65 @@ def ordered(sets: DataFrame) -> DataFrame:
                     F.sort_array("t").alias("tokens")))
 
 
-def _most(a: np.ndarray, b: np.ndarray, depth: int) -> int:
-    """Bound of the overlap of two sorted lists by halving them at one value."""
-    if depth == 0 or not len(a) or not len(b):
-        return min(len(a), len(b))
-    at = a[len(a) // 2]
-    i, j = len(a) // 2, int(np.searchsorted(b, at))
-    return _most(a[:i], b[:j], depth - 1) + _most(a[i:], b[j:], depth - 1)
+#: Value ranges of the suffix filter, and shingles of the documents of one side of a cell.
+RANGES, CELL = 16, 1 << 21
+
+
+def _linked(n: np.ndarray, tokens: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs (places a, b) of documents with ``n`` shingles and these shared ones
+    (sorted) have the overlap they need.  The suffix filter first: lists cut at the
+    same values can't overlap more than the shorter part of each cut.  Then the exact
+    overlap, for all partners of a document at once."""
+    least = -(-NUM * (n[a] + n[b]) // (NUM + DEN))
+    cuts = np.linspace(-(1 << 63), (1 << 63) - 1, RANGES + 1)[1:-1].astype(np.int64)
+    parts = np.diff(np.array([np.concatenate([[0], np.searchsorted(t, cuts), [len(t)]]) for t in tokens]), axis=1)
+    out = np.zeros(len(a), bool)
+    open_ = np.flatnonzero(np.minimum(parts[a], parts[b]).sum(1) >= least)
+    size = np.array([len(t) for t in tokens])
+    first = np.cumsum(size) - size
+    _, code = np.unique(np.concatenate(tokens), return_inverse=True)
+    mark = np.zeros(int(code.max(initial=-1)) + 1, bool)
+    open_ = open_[np.argsort(a[open_], kind="stable")]
+    for part in np.split(open_, np.flatnonzero(np.diff(a[open_])) + 1):
+        if len(part):
+            x = a[part[0]]
+            own = code[first[x]:first[x] + size[x]]
+            mark[own] = True
+            for some in np.split(part, range(256, len(part), 256)):
+                ends = np.cumsum(size[b[some]])
+                at = np.arange(ends[-1]) + np.repeat(first[b[some]] - (ends - size[b[some]]), size[b[some]])
+                hits = np.concatenate([[0], np.cumsum(mark[code[at]])])
+                out[some] = hits[ends] - hits[ends - size[b[some]]] >= least[some]
+            mark[own] = False
+    return out
 
 
 def verifier(lists: DataFrame):  # noqa: ANN201
-    """Keeps the linked pairs of (a, b): suffix filter, then the exact overlap."""
+    """Keeps the linked pairs of (a, b).  Pairs meet in cells of a block of documents
+    by another, so that a document is sent once for all its pairs of a cell."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(c) for c in ("n_a", "n_b", "t_a", "t_b")]
-            keep = []
-            for n_a, n_b, t_a, t_b in zip(cols[0].to_pylist(), cols[1].to_pylist(), cols[2], cols[3], strict=True):
-                x, y = t_a.values.to_numpy(), t_b.values.to_numpy()
-                least = -(-NUM * (n_a + n_b) // (NUM + DEN))
-                keep.append(_most(x, y, 3) >= least and len(np.intersect1d(x, y, assume_unique=True)) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for row in range(batch.num_rows):
+                pairs, docs = (batch.column(c)[row].values for c in ("pairs", "docs"))
+                ids = docs.field("key").to_numpy()
+                order = np.argsort(ids)
+                a, b = (order[np.searchsorted(ids, pairs.field(c).to_numpy(), sorter=order)] for c in ("a", "b"))
+                tokens = [t.values.to_numpy() for t in docs.field("tokens")]
+                keep = _linked(docs.field("n").to_numpy(), tokens, a, b)
+                kept = pairs.filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([kept.field("a"), kept.field("b")], names=["a", "b"])
+
+    total = lists.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    blocks = max(1, -(-total // CELL))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        side = lambda c: lists.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"t_{c}"))
-        return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "t_a", "t_b")
-                .mapInArrow(run, "a long, b long"))
+        block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+        placed = pairs.select("a", "b", block("a").alias("ba"), block("b").alias("bb"))
+        cells = placed.groupBy("ba", "bb").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+        ends = placed.select("ba", "bb", F.explode(F.array("a", "b")).alias("key")).distinct()
+        docs = (ends.join(lists.select("key", "n", "tokens"), "key").groupBy("ba", "bb")
+                .agg(F.collect_list(F.struct("key", "n", "tokens")).alias("docs")))
+        return cells.join(docs, ["ba", "bb"]).select("pairs", "docs").mapInArrow(run, "a long, b long")
     return verify
 
 
@@ -271,6 +334,64 @@ def _met_before(x: Column, y: Column) -> Column:
     return F.coalesce(F.arrays_overlap(x["before"], y["before"]), F.lit(False))
 
 
+#: Members of a group that are compared at once in the last round.
+BLOCK = 256
+
+
+def _block_pairs(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places (of x, of y) of members that need comparing: ``_may_link`` holds, they are
+    of two classes, and they don't meet in an earlier group."""
+    n, pos = (np.minimum.outer(x[c], y[c]) for c in ("n", "pos"))
+    after = np.minimum.outer(x["n"] - x["pos"], y["n"] - y["pos"])
+    least = -(-np.add.outer(x["n"], y["n"]) * NUM // (NUM + DEN))
+    ok = (x["comp"][:, None] != y["comp"]) & (n * DEN >= np.maximum.outer(x["n"], y["n"]) * NUM) & (pos + after >= least)
+    if same:
+        ok = np.triu(ok, 1)
+    if ok.any():
+        grams, code = np.unique(np.concatenate([x["before"], y["before"]]), return_inverse=True)
+        rows = []
+        for side, own in ((x, code[:len(x["before"])]), (y, code[len(x["before"]):])):
+            has = np.zeros((len(side["n"]), len(grams)), np.float32)
+            has[np.repeat(np.arange(len(side["n"])), side["before_n"]), own] = 1
+            rows.append(has)
+        ok &= rows[0] @ rows[1].T == 0
+    return np.nonzero(ok)
+
+
+def _side(column: pa.ListArray, row: int) -> dict[str, np.ndarray]:
+    cells = column[row].values
+    out = {c: cells.field(c).to_numpy() for c in ("id", "comp", "n", "pos")}
+    before = cells.field("before")  # null: not carried, so it meets no one there
+    return out | {"before": before.flatten().to_numpy(), "before_n": pc.fill_null(pc.list_value_length(before), 0).to_numpy()}
+
+
+def _rest_of(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a group's members, block by block, in numpy: a task holds two
+    blocks and hands on only the pairs that need comparing."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for row in range(batch.num_rows):
+                x = _side(batch.column("x"), row)
+                same = not batch.column("y")[row].is_valid
+                y = x if same else _side(batch.column("y"), row)
+                i, j = _block_pairs(x, y, same)
+                a.append(x["id"][i])
+                b.append(y["id"][j])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    blocks = F.floor((F.col("size") + (BLOCK - 1)) / BLOCK)
+    cells = (members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+             .groupBy("grp", "block", "blocks").agg(F.collect_list(F.struct("id", "comp", "n", "pos", "before")).alias("x")))
+    cells = written(cells, "blocks")
+    own = cells.select("x", F.lit(None).cast(cells.schema["x"].dataType).alias("y"))
+    first = cells.where("blocks > block + 1").select("grp", "x", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("other"))
+    second = cells.where("blocks > 1").select("grp", F.col("block").alias("other"), F.col("x").alias("y"))
+    both = first.join(second, ["grp", "other"]).select("x", "y")
+    return own.unionByName(both).mapInArrow(run, "a long, b long")
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, key, n) of all documents; (key, root) of linked classes; links."""
     docs = docs.select("doc_id", "text")
@@ -280,16 +401,20 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     # a partner has need(n) shingles at least, and shares as many as its own stretch asks for
     open_ = (every.where("key is not null").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
              .join(credit, "key").where(F.col("credit") >= 1 + F.floor(_needed(F.col("n")) / STRETCH)))
-    sets = class_sets(docs, written(open_.select("key", "doc_id"), "open"))
+    open_ = written(open_.select("key", "doc_id"), "open")
+    sets = class_sets(docs, open_)
     if every.groupBy("doc_id", "key").count().where("count > 1").take(1):
         sets = sets.dropDuplicates(["key"])  # rows that repeat an id
     sets = written(sets, "sets")
     lists = written(ordered(sets), "lists")
+    discard(open_)
+    discard(sets)
     members = lists.select(F.col("key").alias("id"), "n", "shared", "prefix",
                            F.posexplode_outer("prefix").alias("at", "grp")) \
         .withColumn("before", F.when(F.size("prefix") <= CARRY, F.slice("prefix", F.lit(1), F.col("at")))) \
         .select("grp", "id", "n", (F.col("n") - F.col("shared") + F.col("at")).alias("pos"), "before")
-    roots, links = connected(members, _may_link, verifier(lists), ["n", "pos", "before"], _met_before)
+    roots, links = connected(members, _may_link, verifier(lists), ["n", "pos", "before"], _met_before, _rest_of)
+    discard(lists)
     return every, roots.select(F.col("id").alias("key"), "root"), links
 
 
