@@ -51,3 +51,12 @@ def test_repeated_rows_count_once(spark):
     found = secret_scan.secret_spans(docs_of(spark, rows))
     assert found.select(F.max("n_docs")).first()[0] == 1 and found.count() == 1
     assert [r.n_assign for r in secret_scan.secret_digest(docs_of(spark, rows)).collect()] == [1, 1, 1]
+
+
+def test_repositories_of_two_owners_part_examples_too(spark):
+    value = {k: f"ghp_{k}" + "A1b2" * 5 for k in ("one", "two", "few")}
+    rows = [(i, value["one"], "solo", f"l{i}") for i in range(9)]  # one owner repeats it
+    rows += [(20 + i, value["two"], f"o{i % 2}", f"l{i}") for i in range(6)]
+    rows += [(40 + i, value["few"], f"o{i % 2}", f"l{i}") for i in range(5)]
+    got = {(r.doc_id // 20, r.live, r.n_owners, r.n_repos) for r in secret_scan.secret_spans(docs_of(spark, rows)).collect()}
+    assert got == {(0, True, 1, 9), (1, False, 2, 6), (2, True, 2, 5)}

@@ -3,8 +3,9 @@
 Candidates of several kinds are found in whole texts by pattern.  The hashes of
 their values are then counted over the corpus by distinct owner (source) and
 repository (source and language): a value that ``EXAMPLE_OWNERS`` or more
-owners have is a copied example, any other is specific to its owners and looks
-live.  Candidates of the base kinds are always spans; those of the added kinds
+owners have is a copied example, and so is one that two owners have in
+``EXAMPLE_REPOS`` or more repositories; any other is specific to its owners and
+looks live, in however many repositories one owner repeats it.  Candidates of the base kinds are always spans; those of the added kinds
 are spans only where they look live.
 
 Defined results: null and empty texts have none; repeated rows get equal rows
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from txrisk.llm.common import small_side, written
 
-EXAMPLE_OWNERS = 3
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 6
 
 # Kind, pattern, group of the value, its least length.  The first three are the base, in order.
 KINDS = [
@@ -82,7 +83,8 @@ def ownership(found: DataFrame) -> DataFrame:
     return (per_repo.groupBy("value_hash")
             .agg(F.count_distinct(some("owner")).alias("n_owners"), F.count_distinct(some("repo")).alias("n_repos"),
                  F.sum("n").alias("n_docs"))
-            .withColumn("live", F.col("n_owners") < EXAMPLE_OWNERS))
+            .withColumn("live", (F.col("n_owners") < EXAMPLE_OWNERS)
+                        & ((F.col("n_owners") < 2) | (F.col("n_repos") < EXAMPLE_REPOS))))
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
