@@ -47,5 +47,16 @@ def test_short_statements_with_words_put_in(spark):
             (6, "licensed under the terms of the GNU General Public License")]
     got = {r.doc_id: (r.labels, r.base_labels) for r in license_scan.license_digest(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    # 3: "license version 3" is parted and one word of it has no run of three left; 4: neither has "reserved"
-    assert got == {1: ("gpl-3", ""), 2: ("lgpl-3", ""), 3: ("", ""), 4: ("", ""), 5: ("", ""), 6: ("", "")}
+    # 3 and 4: an end that is parted has no run of three words left, but its fragments lie next to the rest
+    assert got == {1: ("gpl-3", ""), 2: ("lgpl-3", ""), 3: ("agpl-3", ""), 4: ("all-rights-reserved", ""), 5: ("", ""), 6: ("", "")}
+
+
+def test_words_put_in_anywhere_in_a_short_statement(spark):
+    ws = "licensed under the gnu general public license version 3".split()
+    texts = [" ".join([*ws[:i], "filler", *ws[i:]]) for i in range(1, len(ws))]
+    texts += ["licensed under the gnu general public license version 2", "licensed under the gnu general public license version",
+              "under the gnu general public license version 3", "licensed under the gnu general public license " + "word " * 9 + "version 3",
+              "licensed gnu under the version general public 3 license"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = [r.labels for r in license_scan.license_digest(docs).orderBy("doc_id").collect()]
+    assert got == ["gpl-3"] * (len(ws) - 1) + [""] * 5

@@ -5,7 +5,10 @@ hashes in a fixed table of license templates.  A hit votes for its diagonal
 (position in the text minus position in the template).  Diagonals at most
 ``DRIFT`` apart whose hits lie near each other merge, which bridges words
 inserted or left out, and a merged span is verified by the share of the
-template's words that it covers.  Where merged short statements begin or end at one
+template's words that it covers.  A word put in next to an end of a short statement
+leaves less than three words there; texts with a hit of such a statement are read
+again for its pairs of words and its first and last word, which complete a span
+that they lie in or next to.  Where merged short statements begin or end at one
 word, the longest holds, besides those that are whole on one diagonal.
 
 Phrases of the base rule must be covered whole, on one diagonal.  The templates
@@ -21,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from txrisk.llm.common import small_side, written
+
 K = 3
 DRIFT = 3
 #: Words of a template between two hits of one span, at most.
@@ -81,6 +86,48 @@ def templates(spark: SparkSession) -> DataFrame:
                     F.posexplode_outer(rolling(F.col("ws"))).alias("at", "gram")).where("gram is not null"))
 
 
+def fragments(spark: SparkSession) -> DataFrame:
+    """template, at, size, fragment: pairs of words of short statements, and their ends."""
+    rows = []
+    for i, (_, text) in enumerate(STATEMENTS, len(PHRASES)):
+        ws = text.split(" ")
+        if len(ws) < PER_WORDS:
+            rows += [(i, at, 2, " ".join(ws[at:at + 2])) for at in range(len(ws) - 1)]
+            rows += [(i, 0, 1, ws[0]), (i, len(ws) - 1, 1, ws[-1])]
+    cells = F.array(*[F.struct(F.lit(t).alias("template"), F.lit(at).alias("at"), F.lit(k).alias("size"), F.lit(f).alias("fragment"))
+                      for t, at, k, f in rows])
+    return spark.range(1).select(F.explode(cells).alias("f")).select("f.*")
+
+
+def _completed(docs: DataFrame, merged: DataFrame) -> DataFrame:
+    """``merged`` with the fragments that lie in or next to spans of short statements."""
+    doc = ["doc_id", "text_hash"]
+    open_ = merged.where(~F.col("base") & (F.col("n_template") < PER_WORDS) & ~F.col("whole"))
+    few = small_side(written(open_.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "short-statements"))
+    text_hash = F.xxhash64("text")
+    read = (docs.join(few, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash")), "left_semi")
+            .select("doc_id", text_hash.alias("text_hash"), words(F.col("text")).alias("ws")).distinct())
+    pair = F.transform(F.arrays_zip(F.col("ws").alias("w"), F.slice("ws", 2, F.size("ws")).alias("v")),
+                       lambda z: F.array(z["w"], F.concat_ws(" ", z["w"], z["v"])))
+    seen = (read.select(*doc, F.posexplode(pair).alias("pos", "said")).select(*doc, "pos", F.explode(F.array_distinct("said")).alias("fragment"))
+            .join(F.broadcast(fragments(docs.sparkSession)), "fragment").select(*doc, "template", "pos", "at", "size"))
+    s, f = merged.alias("s"), seen.alias("f")
+    near = (F.col("s.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("s.text_hash") == F.col("f.text_hash"))
+            & (F.col("s.template") == F.col("f.template")) & ~F.col("s.whole")
+            & (F.col("f.pos") - F.col("f.at")).between(F.col("s.least") - DRIFT, F.col("s.most") + DRIFT)
+            & (F.col("f.pos") + F.col("f.size") + DRIFT >= F.col("s.first_word")) & (F.col("f.pos") <= F.col("s.last_word") + 1 + DRIFT))
+    found = (s.join(f, near).groupBy(*[F.col(f"s.{c}") for c in (*doc, "template", "span")])
+             .agg(F.min("f.pos").alias("begins"), F.max(F.col("f.pos") + F.col("f.size") - 1).alias("ends"),
+                  F.flatten(F.collect_set(F.sequence("f.at", F.col("f.at") + F.col("f.size") - 1))).alias("more")))
+    m, g = merged.alias("m"), found.alias("g")
+    same = (F.col("m.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("m.text_hash") == F.col("g.text_hash"))
+            & (F.col("m.template") == F.col("g.template")) & (F.col("m.span") == F.col("g.span")))
+    kept = [F.col(f"m.{c}") for c in merged.columns if c not in ("first_word", "last_word", "words")]
+    return m.join(g, same, "left").select(
+        *kept, F.least("m.first_word", "g.begins").alias("first_word"), F.greatest("m.last_word", "g.ends").alias("last_word"),
+        F.array_distinct(F.concat("m.words", F.coalesce("g.more", F.array().cast("array<int>")))).alias("words"))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """Verified spans of ``docs`` (doc_id, text): doc_id, text_hash, template,
     label, base, first_word, last_word (of the span), score (share covered)."""
@@ -109,9 +156,11 @@ def spans(docs: DataFrame) -> DataFrame:
               .groupBy(*group, "span")
               .agg(F.min("lo").alias("first_word"), (F.max("hi") + K - 1).alias("last_word"),
                    F.max(F.size("ats") == F.col("n_template") - K + 1).alias("whole"),
-                   F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats")))
-    covered = F.size(F.array_distinct(F.flatten(F.transform(
-        "ats", lambda a: F.sequence(a, a + K - 1)))))
+                   F.min("diagonal").alias("least"), F.max("diagonal").alias("most"),
+                   F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"))
+              .withColumn("words", F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + K - 1))))))
+    merged = _completed(docs, written(merged.drop("ats"), "license-spans"))
+    covered = F.size("words")
     found = (merged.withColumn("score", covered / F.col("n_template"))
              .where(covered >= F.col("n_template") - F.when(F.col("base"), 0).otherwise(
                  F.expr(f"n_template div {PER_WORDS}") * MAY_MISS)))
@@ -121,7 +170,7 @@ def spans(docs: DataFrame) -> DataFrame:
         Window.partitionBy("doc_id", "text_hash", place))
     found = found.withColumns({"longest_there": F.greatest(longest("first_word"), longest("last_word"))})
     return (found.where(~short | F.col("whole") | (F.col("n_template") >= F.col("longest_there")))
-            .drop("span", "ats", "n_template", "whole", "longest_there"))
+            .drop("span", "least", "most", "words", "n_template", "whole", "longest_there"))
 
 
 def license_digest(docs: DataFrame) -> DataFrame:
