@@ -102,24 +102,32 @@ def test_blocks_of_a_group_make_the_pairs_that_need_comparing(spark, monkeypatch
     import random
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
     rng = random.Random(6)
+    tokens = {}
+    for i in range(1000):
+        family = i % 5  # values whose low bits, the mark, are their own
+        tokens[i] = sorted(rng.sample([(v << 20) + v for v in range(family * 60, family * 60 + 44)], rng.randrange(28, 42)))
     rows = []
     for grp in range(6):
         ids = rng.sample(range(1000), [1, 2, 3, 9, 30, 60][grp])
         for i in ids:
-            n = rng.randrange(20, 40)
             before = [rng.randrange(25) for _ in range(rng.randrange(3))] if rng.random() < 0.8 else None
-            rows.append((grp, i, i % 7 if i % 3 else i, len(ids), n, rng.randrange(1, 9), before))
+            rows.append((grp, i, i % 7 if i % 3 else i, len(ids), len(tokens[i]) + i % 2, rng.randrange(1, 9), before))
     members = spark.createDataFrame(rows, "grp long, id long, comp long, size long, n long, pos long, before array<long>")
-    got = sorted(map(tuple, ngram_join._rest_of(members).collect()))
-    want = []
+    lists = spark.createDataFrame(list(tokens.items()), "key long, tokens array<long>")
+    got = sorted(map(tuple, ngram_join.rest_of(members, ngram_join.marks(lists)).collect()))
+    want, linked = [], set()
     for x in rows:
         for y in rows:
             if x[0] == y[0] and x[1] < y[1] and x[2] != y[2] and not set(x[6] or []) & set(y[6] or []):
                 n, m = sorted((x[4], y[4]))
+                least = -(-(n + m) * 75 // 175)
                 room = min(x[5], y[5]) + min(x[4] - x[5], y[4] - y[5])
-                if n * 100 >= m * 75 and room >= -(-(n + m) * 75 // 175):
-                    want.append((x[1], y[1]))
-    assert got == sorted(want) and len(want) > 100
+                a, b = set(tokens[x[1]]), set(tokens[y[1]])
+                if n * 100 >= m * 75 and room >= least:
+                    linked |= {(x[1], y[1])} if len(a & b) >= least else set()
+                    if len({v % 1024 for v in a} ^ {v % 1024 for v in b}) <= len(a) + len(b) - 2 * least:
+                        want.append((x[1], y[1]))
+    assert got == sorted(want) and len(want) > 10 and linked <= set(got)
 
 
 def test_every_partition_gets_one_bucket(spark):

@@ -181,9 +181,17 @@ def screen(docs: DataFrame, buckets: int) -> DataFrame:
                     yield from pass_on()
 
         def pass_on() -> Iterator[pa.RecordBatch]:
+            """A row for each partition of classes: their ids and credits."""
             if credits:
                 ids, counts = summed()
-                yield pa.RecordBatch.from_arrays([_signed(ids), pa.array(counts)], names=["key", "credit"])
+                own = (X.mix(ids) % _U(buckets)).astype(np.int64)
+                order = np.argsort(own, kind="stable")
+                cut = np.searchsorted(own[order], np.arange(buckets + 1))
+                sent = [(number[b], ids[order[i:j]].tobytes(), counts[order[i:j]].tobytes())
+                        for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.binary() if i else pa.int64()) for i, c in enumerate(zip(*sent, strict=True))],
+                    names=["bucket", "ids", "counts"])
             credits.clear()
 
         def fold() -> tuple[np.ndarray, np.ndarray]:
@@ -211,10 +219,19 @@ def screen(docs: DataFrame, buckets: int) -> DataFrame:
             yield from add(*fold())
         yield from pass_on()
 
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The credits of a partition's classes."""
+        got = [(np.frombuffer(i, np.uint64), np.frombuffer(c, np.int64)) for batch in batches
+               for i, c in zip(batch.column("ids").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+        if got:
+            ids, at = np.unique(np.concatenate([i for i, _ in got]), return_inverse=True)
+            sums = np.bincount(at, np.concatenate([c for _, c in got])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([_signed(ids), pa.array(sums)], names=["key", "credit"])
+
     posted = docs.select("text").mapInArrow(
         post, "bucket long, grams binary, keys binary, runs binary, known binary, ids binary, counts binary")
-    return (posted.repartition(buckets, "bucket").mapInArrow(merge, "key long, credit long")
-            .groupBy("key").agg(F.sum("credit").alias("credit")))
+    merged = posted.repartition(buckets, "bucket").mapInArrow(merge, "bucket long, ids binary, counts binary")
+    return merged.repartition(buckets, "bucket").mapInArrow(total, "key long, credit long")
 
 
 def _needed(n: Column) -> Column:
@@ -240,7 +257,7 @@ def class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 got = pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), grams], names=["key", "n", "grams"])
                 yield got.filter(pa.array(same))
-    named = classes.select("key", F.col("doc_id").alias("_id")).hint("shuffle_hash")
+    named = small_side(classes.select("key", F.col("doc_id").alias("_id")))  # texts stay in place while these are few
     texts = docs.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
     return texts.mapInArrow(run, "key long, n long, grams array<long>")
 
@@ -248,10 +265,11 @@ def class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
 def ordered(sets: DataFrame) -> DataFrame:
     """key, n, prefix (rare first, singles left out), tokens (shared ones by
     value) of the classes that share enough shingles to have a partner."""
-    postings = sets.select("key", "n", F.explode_outer("grams").alias("gram"))
+    postings = sets.select("key", F.explode_outer("grams").alias("gram"))
     frequency = postings.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    rare = (postings.join(frequency, "gram").groupBy("key", "n")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("t")))
+    rare = (postings.join(frequency, "gram").groupBy("key")
+            .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("t"))
+            .join(sets.select("key", "n"), "key"))
     shared = F.size("t")
     return (rare.where(shared >= _needed(F.col("n")))
             .select("key", "n", shared.alias("shared"), F.transform("t", lambda x: x["gram"]).alias("t"))
@@ -334,13 +352,28 @@ def _met_before(x: Column, y: Column) -> Column:
     return F.coalesce(F.arrays_overlap(x["before"], y["before"]), F.lit(False))
 
 
-#: Members of a group that are compared at once in the last round.
-BLOCK = 256
+#: Members of a group that are compared at once in the last round, and bits of a mark.
+BLOCK, MARK_BITS = 256, 1024
+
+
+def marks(lists: DataFrame) -> DataFrame:
+    """id, s (number of shared shingles), mark (bits of their values) of every class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [t.values.to_numpy() for t in batch.column("tokens")]
+            bits = np.zeros((len(tokens), MARK_BITS), bool)
+            for row, t in zip(bits, tokens, strict=True):
+                row[t & (MARK_BITS - 1)] = True
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array([len(t) for t in tokens], pa.int64()),
+                 pa.array([r.tobytes() for r in np.packbits(bits, axis=1)], pa.binary())], names=["id", "s", "mark"])
+    return lists.select("key", "tokens").mapInArrow(run, "id long, s long, mark binary")
 
 
 def _block_pairs(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places (of x, of y) of members that need comparing: ``_may_link`` holds, they are
-    of two classes, and they don't meet in an earlier group."""
+    of two classes, they don't meet in an earlier group, and their marks, of which every
+    bit that one alone has stands for a shingle that one alone has, don't rule it out."""
     n, pos = (np.minimum.outer(x[c], y[c]) for c in ("n", "pos"))
     after = np.minimum.outer(x["n"] - x["pos"], y["n"] - y["pos"])
     least = -(-np.add.outer(x["n"], y["n"]) * NUM // (NUM + DEN))
@@ -355,17 +388,21 @@ def _block_pairs(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool)
             has[np.repeat(np.arange(len(side["n"])), side["before_n"]), own] = 1
             rows.append(has)
         ok &= rows[0] @ rows[1].T == 0
-    return np.nonzero(ok)
+    i, j = np.nonzero(ok)
+    apart = np.bitwise_count(x["mark"][i] ^ y["mark"][j]).sum(1, dtype=np.int64)
+    near = apart <= x["s"][i] + y["s"][j] - 2 * least[i, j]
+    return i[near], j[near]
 
 
 def _side(column: pa.ListArray, row: int) -> dict[str, np.ndarray]:
     cells = column[row].values
-    out = {c: cells.field(c).to_numpy() for c in ("id", "comp", "n", "pos")}
+    out = {c: cells.field(c).to_numpy() for c in ("id", "comp", "n", "pos", "s")}
+    out["mark"] = np.frombuffer(b"".join(cells.field("mark").to_pylist()), np.uint64).reshape(-1, MARK_BITS // 64)
     before = cells.field("before")  # null: not carried, so it meets no one there
     return out | {"before": before.flatten().to_numpy(), "before_n": pc.fill_null(pc.list_value_length(before), 0).to_numpy()}
 
 
-def _rest_of(members: DataFrame) -> DataFrame:
+def rest_of(members: DataFrame, marked: DataFrame) -> DataFrame:
     """Pairs (a, b) of a group's members, block by block, in numpy: a task holds two
     blocks and hands on only the pairs that need comparing."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,8 +419,8 @@ def _rest_of(members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     blocks = F.floor((F.col("size") + (BLOCK - 1)) / BLOCK)
-    cells = (members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-             .groupBy("grp", "block", "blocks").agg(F.collect_list(F.struct("id", "comp", "n", "pos", "before")).alias("x")))
+    cells = (members.join(marked, "id").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+             .groupBy("grp", "block", "blocks").agg(F.collect_list(F.struct("id", "comp", "n", "pos", "s", "mark", "before")).alias("x")))
     cells = written(cells, "blocks")
     own = cells.select("x", F.lit(None).cast(cells.schema["x"].dataType).alias("y"))
     first = cells.where("blocks > block + 1").select("grp", "x", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("other"))
@@ -413,7 +450,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                            F.posexplode_outer("prefix").alias("at", "grp")) \
         .withColumn("before", F.when(F.size("prefix") <= CARRY, F.slice("prefix", F.lit(1), F.col("at")))) \
         .select("grp", "id", "n", (F.col("n") - F.col("shared") + F.col("at")).alias("pos"), "before")
-    roots, links = connected(members, _may_link, verifier(lists), ["n", "pos", "before"], _met_before, _rest_of)
+    roots, links = connected(members, _may_link, verifier(lists), ["n", "pos", "before"], _met_before,
+                             lambda left: rest_of(left, marks(lists)))
     discard(lists)
     return every, roots.select(F.col("id").alias("key"), "root"), links
 
