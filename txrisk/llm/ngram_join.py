@@ -117,6 +117,18 @@ def even_buckets(spark: SparkSession, buckets: int) -> list[int]:
     return [of[p] for p in range(buckets)]
 
 
+def _packed(grams: np.ndarray) -> bytes:
+    """The low 48 bits of hashes: enough for the screen, where a chance match costs a
+    credit too many and never one too few."""
+    return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
 def screen(docs: DataFrame, buckets: int) -> DataFrame:
     """key, credit: no fewer than the shingles in the class's stretch that
     another class has in its own."""
@@ -142,8 +154,8 @@ def screen(docs: DataFrame, buckets: int) -> DataFrame:
                 one = ~shared[lo:hi]
                 ks = k[lo:hi][one]  # sorted: named once, with the length of its run
                 uniq, runs = np.unique(ks, return_counts=True)
-                rows.append((number[b], g[lo:hi][one].tobytes(), uniq.tobytes(), runs.astype(np.uint32).tobytes(),
-                             g[lo:hi][~one].tobytes(), b"", b""))
+                rows.append((number[b], _packed(g[lo:hi][one]), uniq.tobytes(), runs.astype(np.uint32).tobytes(),
+                             _packed(g[lo:hi][~one]), b"", b""))
             rows.append((number[turn % buckets], b"", b"", b"", b"", ids.tobytes(), counts.astype(np.int64).tobytes()))
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows, strict=True))],
@@ -208,9 +220,9 @@ def screen(docs: DataFrame, buckets: int) -> DataFrame:
             for _, grams, keys, runs, known, ids, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if ids:
                     yield from add(np.frombuffer(ids, np.uint64), np.frombuffer(counts, np.int64))
-                g = np.frombuffer(grams, np.uint64)
+                g = _unpacked(grams)
                 k = np.repeat(np.frombuffer(keys, np.uint64), np.frombuffer(runs, np.uint32))
-                s = np.frombuffer(known, np.uint64)
+                s = _unpacked(known)
                 new += [(g, k, np.zeros(len(g), bool)), (s, np.zeros(len(s), np.uint64), np.ones(len(s), bool))]
                 size += len(g) + len(s)
                 if size >= max(HOLD, len(state[0])):
