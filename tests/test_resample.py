@@ -5,7 +5,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from conftest import SF001, SF01, plan_text
 from txrisk import schema as S
 from txrisk.operators import resample as B
 from txrisk.plans import oracle, stages
@@ -34,6 +34,22 @@ def test_replicates_do_not_depend_on_the_layout(spark):
     assert a == b and len(a) == 7 and len({tuple(r)[1:] for r in a}) > 1
 
 
+def test_a_digest_is_made_once_a_replicate_and_equal_rows_are_counted(spark):
+    preds = _preds(spark, 300)
+    some = preds.unionByName(preds.where("tx_id < 40")).unionByName(preds.limit(5).withColumn(S.TX_ID, F.lit(None).cast("long")))
+    out = B.bootstrap_confusion(some, replicates=6)
+    assert plan_text(out, "simple").count("md5(") == 1 and "conv(" not in plan_text(out, "simple")
+    want = {}
+    for r in some.collect():
+        for i in range(1, 7):
+            text = f"42:{i}" + ("" if r.tx_id is None else f":{r.tx_id}")
+            w = sum(int(hashlib.md5(text.encode()).hexdigest()[:8], 16) >= s for s in B.poisson_steps())
+            t = want.setdefault(i, [0] * 5)
+            t[{(1, 1): 0, (1, 0): 1, (0, 1): 2, (0, 0): 3}[r.isFraud, int(r.prediction)]] += w
+            t[4] += w * (r.isFraud == r.isFlaggedFraud == 1)
+    assert {r.replicate: list(r)[1:] for r in out.collect()} == want
+
+
 def test_intervals_hold_the_plain_value(spark):
     p = _preds(spark, 5000)
     r = {x.metric: x for x in B.bootstrap_intervals(B.bootstrap_confusion(p)).collect()}

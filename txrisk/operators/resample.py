@@ -32,26 +32,39 @@ def poisson_weight(key: Column, replicate: Column, seed: int = SEED) -> Column:
     """How often a row is drawn in a replicate: a Poisson(1) count of the digest of
     (seed, replicate, key), the same on any engine, layout and number of tasks."""
     text = F.concat_ws(":", F.lit(str(seed)), replicate.cast("string"), key.cast("string"))
-    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    out = F.lit(0)
-    for at in poisson_steps():
-        out = out + (u >= at).cast("int")
-    return out
+    return _steps_passed(F.substring(F.md5(text), 1, 8))
+
+
+def _steps_passed(digits: Column) -> Column:
+    """The Poisson count of 8 hex digits; such digits (lower case) sort as their numbers do."""
+    out = None
+    for n, at in enumerate(poisson_steps()):
+        below = digits < F.lit(f"{at:08x}")
+        out = F.when(below, n) if out is None else out.when(below, n)
+    return out.otherwise(len(poisson_steps()))
 
 
 def bootstrap_confusion(preds: DataFrame, replicates: int = REPLICATES, label: str = S.LABEL, pred: str = "prediction",
                         rule: str = S.RULE, key: str = S.TX_ID, seed: int = SEED) -> DataFrame:
     """Per replicate: weighted TP, FN, FP, TN of the prediction and TP of the rule, for
-    all replicates in one aggregate (a task sends one row per replicate)."""
+    all replicates in one aggregate (a task sends one row per replicate).
+
+    A row's digest is made once a replicate, from texts that are made once a row, and
+    its count from the digest by the fewest steps.  There is no filter on the counts
+    (a filter would make digest and count anew for each step); replicates in which no
+    row is drawn go after the aggregate.  Equal rows are counted first, which also deals
+    the rows evenly, as those of a scan may lie in few files."""
     y, p = F.col(label), F.col(pred)
-    rows = preds.select(y.alias("y"), p.alias("p"), F.col(rule).alias("r"), F.col(key).alias("k")).withColumn(
-        "replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    rows = rows.withColumn("w", poisson_weight(F.col("k"), F.col("replicate"), seed)).where("w > 0")
+    # as ``poisson_weight`` has it: a null key adds nothing to the text
+    rows = preds.select(y.alias("y"), p.alias("p"), F.col(rule).alias("r"), F.concat_ws(":", F.lit(""), F.col(key).cast("string")).alias("k"))
+    rows = rows.groupBy("k", "y", "p", "r").agg(F.count(F.lit(1)).alias("n")).withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    prefix = F.element_at(F.array(*[F.lit(f"{seed}:{i}") for i in range(1, replicates + 1)]), F.col("replicate"))
+    rows = rows.withColumn("u", F.substring(F.md5(F.concat(prefix, F.col("k"))), 1, 8)).withColumn("w", _steps_passed(F.col("u")) * F.col("n"))
     total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("w"))), F.lit(0)).cast("long")
     return rows.groupBy("replicate").agg(
         total(F.expr("y = 1 AND p = 1")).alias("tp"), total(F.expr("y = 1 AND p = 0")).alias("fn"),
         total(F.expr("y = 0 AND p = 1")).alias("fp"), total(F.expr("y = 0 AND p = 0")).alias("tn"),
-        total(F.expr("y = 1 AND r = 1")).alias("rule_tp"))
+        total(F.expr("y = 1 AND r = 1")).alias("rule_tp"), F.sum("w").alias("drawn")).where("drawn > 0").drop("drawn")
 
 
 def bootstrap_intervals(counts: DataFrame, level: int = 90) -> DataFrame:
