@@ -154,3 +154,12 @@ def test_overlaps_of_a_cell():
     want = [100 * (k := len(set(docs[i]) & set(docs[j]))) >= 75 * (n[i] + n[j] - k) for i, j in pairs]
     assert got.tolist() == want and 50 < sum(want) < len(want) / 2
     assert ngram_join._linked(n, [np.array(d, np.int64) for d in docs], a[:0], b[:0]).tolist() == []
+
+
+def test_shingles_are_shuffled_once(spark):
+    sets = spark.createDataFrame([(1, 3, [5, 6, 7]), (2, 3, [5, 6, 7]), (3, 2, [6, 9])], "key long, n long, grams array<long>")
+    lists = ngram_join.ordered(sets)
+    got = {r.key: (r.n, r.shared, r.prefix, r.tokens) for r in lists.collect()}
+    assert got == {1: (3, 3, [5], [5, 6, 7]), 2: (3, 3, [5], [5, 6, 7])}
+    plan = ngram_join.ordered(sets)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(gram") == 1, plan

@@ -30,13 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txrisk.llm import textnum as X
 from txrisk.llm.common import free_name, small_side, written
 from txrisk.llm.linking import connected
-from txrisk.session import discard
+from txrisk.session import discard, release
 
 N = 5
 #: The threshold as a fraction, 75 / 100.
@@ -278,9 +278,10 @@ def class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
 def ordered(sets: DataFrame) -> DataFrame:
     """key, n, prefix (rare first, singles left out), tokens (shared ones by
     value) of the classes that share enough shingles to have a partner."""
+    # a count over a window: every shingle is shuffled once, not once to be counted and once to be joined
     postings = sets.select("key", F.explode_outer("grams").alias("gram"))
-    frequency = postings.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    rare = (postings.join(frequency, "gram").groupBy("key")
+    frequency = F.count(F.lit(1)).over(Window.partitionBy("gram"))
+    rare = (postings.withColumn("df", frequency).where("df > 1").groupBy("key")
             .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("t"))
             .join(sets.select("key", "n"), "key"))
     shared = F.size("t")
@@ -452,6 +453,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     open_ = (every.where("key is not null").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
              .join(credit, "key").where(F.col("credit") >= 1 + F.floor(_needed(F.col("n")) / STRETCH)))
     open_ = written(open_.select("key", "doc_id"), "open")
+    release(docs.sparkSession)
     sets = class_sets(docs, open_)
     if every.groupBy("doc_id", "key").count().where("count > 1").take(1):
         sets = sets.dropDuplicates(["key"])  # rows that repeat an id
@@ -459,6 +461,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     lists = written(ordered(sets), "lists")
     discard(open_)
     discard(sets)
+    release(docs.sparkSession)
     members = lists.select(F.col("key").alias("id"), "n", "shared", "prefix",
                            F.posexplode_outer("prefix").alias("at", "grp")) \
         .withColumn("before", F.when(F.size("prefix") <= CARRY, F.slice("prefix", F.lit(1), F.col("at")))) \
